@@ -1 +1,5 @@
-"""Streaming runs of the same compiled checks (see quality.py)."""
+"""Streaming runs of the same compiled checks, and windowed verdict counts."""
+
+from .quality import annotate_stream, quality_by_window
+
+__all__ = ["annotate_stream", "quality_by_window"]
