@@ -62,7 +62,8 @@ class Pipeline:
         The rule table is spec-sized (rules, not data), so it is ordered and
         brought to the driver once, like any configuration."""
         order = [c for c in ("stage_no", "ordinal", "rule_pos") if c in rules.columns]
-        rows = [r.asDict(recursive=True) for r in rules.orderBy(*order).collect()]
+        rows = [r.asDict(recursive=True) for r in rules.collect()]
+        rows.sort(key=lambda r: tuple(r[c] for c in order))  # rules, not data: no distributed sort
         reg = kw.get("registry")
         return cls(PipelineSpec.from_rule_rows(rows, reg, kw.pop("on_unknown", "warn")), **kw)
 

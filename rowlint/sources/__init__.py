@@ -27,6 +27,28 @@ def read_table(spark: SparkSession, path: str, format: str = "parquet", **option
     return spark.read.format(format).options(**options).load(path)
 
 
+def spread(df: DataFrame, keys: Iterable[str] = (), parallelism: int | None = None) -> DataFrame:
+    """Spread rows over the cluster when the scan under-fills it.
+
+    A Parquet row group is read by one task, so a file written as one row
+    group (or an unsplittable file) runs every row-local check in a single
+    task.  When the scan has fewer partitions than the session's default
+    parallelism, this adds one exchange to that many partitions: round-robin
+    (even whatever the key distribution; a hot key cannot skew it) or hashed
+    on ``keys`` (give unique keys).  A large input already has more splits
+    than cores, so at scale this is the identity and adds no shuffle.
+    """
+    try:
+        target = parallelism or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. Spark Connect): leave as read
+        return df
+    if have >= target:
+        return df
+    keys = list(keys)
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
 def write_annotated(run: CompiledPipeline, path: str, format: str = "parquet", mode: str = "overwrite",
                     partition_by: Iterable[str] | None = None) -> None:
     """The annotated rows, result map included (Parquet and ORC keep maps)."""
@@ -53,4 +75,4 @@ def write_reports(run: CompiledPipeline, path: str, keys: Iterable[str], format:
     run.summary().coalesce(1).write.format(format).mode(mode).save(f"{path}/summary")
 
 
-__all__ = ["dirty_customers", "read_csv", "read_table", "write_annotated", "write_reports", "write_split"]
+__all__ = ["dirty_customers", "read_csv", "read_table", "spread", "write_annotated", "write_reports", "write_split"]
