@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from ..plans.compile import CompiledPipeline, quote
 from ..plans.pipeline import Pipeline
@@ -31,16 +32,30 @@ def quality_by_window(
     slide: str | None = None,
     watermark: str | None = None,
 ) -> DataFrame:
-    """``window_start, window_end, rule_id, n_pass, n_fail, n_rows``."""
+    """``window_start, window_end, rule_id, n_pass, n_fail, n_rows``.
+
+    With ``watermark`` on a ``timestamp_ntz`` column, the event time is read
+    in the session time zone (pin UTC for wall-clock windows); the window
+    bounds come back as ``timestamp_ntz``."""
     staged = run.staged
-    if watermark is not None:
-        staged = staged.withWatermark(time_col, watermark)
     ts = F.col(quote(time_col))
+    ntz = isinstance(staged.schema[time_col].dataType, TimestampNTZType)
+    if watermark is not None:
+        if ntz:
+            # watermarks need TIMESTAMP: read the wall clock in the session zone
+            staged = staged.withColumn("__event_time", ts.cast("timestamp"))
+            ts = F.col("__event_time")
+            staged = staged.withWatermark("__event_time", watermark)
+        else:
+            staged = staged.withWatermark(time_col, watermark)
     w = F.window(ts, window, slide) if slide else F.window(ts, window)
     aggs = [F.count_if(F.col(r.flag)).alias(f"p{i}") for i, r in enumerate(run.rules)]
     per_window = staged.groupBy(w.alias("w")).agg(*aggs, F.count(F.lit(1)).alias("n"))
     entries = F.array(*[F.struct(F.lit(r.id).alias("rule_id"), F.col(f"p{i}").alias("n_pass")) for i, r in enumerate(run.rules)])
-    return per_window.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), F.col("n"), F.inline(entries)).select(
+    start, end = F.col("w.start"), F.col("w.end")
+    if ntz and watermark is not None:
+        start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
+    return per_window.select(start.alias("window_start"), end.alias("window_end"), F.col("n"), F.inline(entries)).select(
         "window_start",
         "window_end",
         "rule_id",

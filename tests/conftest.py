@@ -1,0 +1,61 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    s = (
+        SparkSession.builder.master("local[*]")
+        .appName("rowlint-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
+    s.sparkContext.setLogLevel("ERROR")
+    # tests own their session: set a checkpoint folder only where none is named
+    if not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rowlint-ckpt-"))
+    yield s
+
+
+@pytest.fixture(scope="session")
+def customers(spark):
+    # The five-row sample (an empty mail field reads as NULL)
+    rows = [
+        ("1", "John Doe", "John.Doe@Example.com"),
+        ("2", "Jane Smith", "jane.smith@example.com"),
+        ("3", "Bob Jones", "  Bob.Jones@Example.com "),
+        ("4", "Alice Brown", "alice.brown"),
+        ("5", "Charlie Black", None),
+    ]
+    return spark.createDataFrame(rows, "id string, name string, email string")
+
+
+@pytest.fixture(scope="session")
+def customers_large(spark):
+    # The eight-row sample
+    rows = [
+        ("1", "John Doe", "john.doe@example.com", "30", "USA", "2023-01-01"),
+        ("2", "Jane Smith", "jane.smith@example.com", "17", "UK", "2023-01-02"),
+        ("3", "Bob Jones", "  Bob.Jones@Example.com ", "45", "CA", "2023/01/03"),
+        ("4", "Alice Brown", "alice.brown", "25", "AU", "2023-01-04"),
+        ("5", "Charlie Black", None, "50", "DE", "2023-01-05"),
+        ("6", "David White", "david.white@test.com", "150", "FR", "2023-01-06"),
+        ("7", "E", "e@e.com", "20", "USA", "2023-01-07"),
+        ("8", "Frank Green", "frank@test.com", "22", "usa", "2023-01-08"),
+    ]
+    return spark.createDataFrame(rows, "id string, name string, email string, age string, country string, signup_date string")

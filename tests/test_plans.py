@@ -1,0 +1,74 @@
+"""Plan shape: one pass, no shuffle, no Python, pruning and pushdown."""
+
+import contextlib
+import io
+
+from pyspark.sql import functions as F
+
+from rowlint import Pipeline
+from rowlint.sources import dirty_customers
+from rowlint.specs import spec_path
+
+from conftest import SF01
+
+
+def plan(df, mode="formatted"):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()
+
+
+def optimized(df):
+    text = plan(df, "extended")
+    return text.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+
+
+def dirty(spark):
+    return dirty_customers(spark.read.parquet(f"{SF01}/customer.parquet"))
+
+
+def test_annotated_plan_has_no_shuffle_and_no_python(spark):
+    p = plan(Pipeline(spec_path("customers_complex")).run(dirty(spark)))
+    assert "Exchange" not in p
+    assert "Python" not in p and "ArrowEval" not in p
+    assert "WholeStageCodegen" in p or "*(1)" in p or "codegen id" in p
+
+
+def test_one_projection_per_stage(spark):
+    df = Pipeline(spec_path("customers_complex")).run(dirty(spark))
+    opt = optimized(df)
+    # 3 stages + the final map; Catalyst collapses what it can
+    assert opt.count("Project [") <= 4
+
+
+def test_one_verdict_prunes_other_rules(spark):
+    out = Pipeline(spec_path("email_standardize")).run(dirty(spark))
+    opt = optimized(out.select("id", F.col("_dq_results")["rule_2"].alias("r2")))
+    assert "a-zA-Z" in opt  # rule_2's pattern stays
+    assert "^[a-z0-9_.+-]+@" not in opt  # rule_3's pattern is gone
+    assert "map(" not in opt and "lower(" not in opt and "isnotnull(" not in opt
+
+
+def test_flat_reads_only_needed_columns(spark):
+    run = Pipeline({"stages": [{"name": "s", "type": "dq", "rules": [
+        {"id": "r", "type": "check_min", "column": "c_acctbal", "value": 0}]}]}).compile(
+        spark.read.parquet(f"{SF01}/customer.parquet"))
+    p = plan(run.flat(["c_custkey"]))
+    assert "ReadSchema: struct<c_custkey:bigint,c_acctbal:double>" in p
+
+
+def test_user_filter_pushed_to_scan(spark):
+    run = Pipeline({"stages": [{"name": "s", "type": "dq", "rules": [
+        {"id": "r", "type": "check_min", "column": "c_acctbal", "value": 0}]}]}).compile(
+        spark.read.parquet(f"{SF01}/customer.parquet"))
+    p = plan(run.flat(["c_custkey"]).where(F.col("c_custkey") < 10))
+    assert "PushedFilters: [IsNotNull(c_custkey), LessThan(c_custkey,10)]" in p
+
+
+def test_summary_is_one_tiny_exchange(spark):
+    run = Pipeline(spec_path("customers_complex")).compile(dirty(spark))
+    p = plan(run.summary(), "simple")
+    assert p.count("Exchange") == 1 and "Exchange SinglePartition" in p
+    assert "partial_count" in p
+    assert "Generate" in p  # rules unpacked after the aggregate
