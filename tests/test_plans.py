@@ -72,3 +72,20 @@ def test_summary_is_one_tiny_exchange(spark):
     assert p.count("Exchange") == 1 and "Exchange SinglePartition" in p
     assert "partial_count" in p
     assert "Generate" in p  # rules unpacked after the aggregate
+
+
+def test_wide_suite_map_equals_narrow_form(spark):
+    from rowlint.plans import compile as C
+
+    rules = [{"id": f"r{i}", "type": "check_min", "column": "c_acctbal", "value": i * 100} for i in range(40)]
+    p = Pipeline({"stages": [{"name": "s", "type": "dq", "rules": rules}]})
+    df = spark.read.parquet(f"{SF01}/customer.parquet").limit(50)
+    wide = p.run(df).select("c_custkey", F.map_entries("_dq_results").alias("e"))
+    old = C.WIDE_SUITE
+    C.WIDE_SUITE = 1000
+    try:
+        narrow = p.run(df).select("c_custkey", F.map_entries("_dq_results").alias("e"))
+        assert sorted(wide.collect()) == sorted(narrow.collect())
+    finally:
+        C.WIDE_SUITE = old
+    assert "map_from_arrays" in plan(p.run(df), "simple")
