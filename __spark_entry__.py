@@ -47,6 +47,8 @@ UNIQUE_KEYS = {
     "events": ["event_id"],
     "documents": ["doc_id"],
     "pages": ["page_id"],
+    "orders": ["o_orderkey"],
+    "conversations": ["conv_id", "turn"],
 }
 
 
@@ -278,6 +280,45 @@ def pages_checks(spark, sf_dir):
     return PAGES.compile(_t(spark, sf_dir, "pages")).flat(["page_id", "url"])
 
 
+ORDERS = Pipeline({"stages": [
+    {"name": "ingest", "type": "dq", "rules": [
+        {"id": "ord_status_set", "type": "check_in_set", "column": "o_orderstatus", "values": ["F", "O"]},
+        {"id": "ord_priority_fmt", "type": "check_regex", "column": "o_orderpriority", "pattern": "^[1-3]-"},
+        {"id": "ord_price_range", "type": "check_range", "column": "o_totalprice", "min": 5000, "max": 400000},
+        {"id": "ord_cust_min", "type": "check_min", "column": "o_custkey", "value": 100},
+    ]},
+    {"name": "standardize", "type": "cleanse", "rules": [{"type": "clean_lowercase", "column": "o_orderpriority"}]},
+    {"name": "verify", "type": "dq", "rules": [
+        {"id": "ord_priority_len", "type": "check_length", "column": "o_orderpriority", "min_len": 5, "max_len": 8},
+        {"id": "ord_priority_lower", "type": "check_regex", "column": "o_orderpriority", "pattern": "^[0-9]-[a-z ]+"},
+    ]},
+]})
+
+
+def orders_checks(spark, sf_dir):
+    return ORDERS.compile(_t(spark, sf_dir, "orders")).flat(["o_orderkey", "o_orderpriority"])
+
+
+CONVERSATIONS = Pipeline({"stages": [
+    {"name": "ingest", "type": "dq", "rules": [
+        {"id": "conv_role_set", "type": "check_in_set", "column": "role", "values": ["user", "assistant"]},
+        {"id": "conv_text_len", "type": "check_length", "column": "text", "min_len": 30, "max_len": 1000},
+        {"id": "conv_text_sentence", "type": "check_regex", "column": "text", "pattern": "[.!]"},
+        {"id": "conv_turn_max", "type": "check_max", "column": "turn", "value": 6},
+    ]},
+    {"name": "standardize", "type": "cleanse", "rules": [
+        {"type": "clean_trim", "column": "text"}, {"type": "clean_uppercase", "column": "role"}]},
+    {"name": "verify", "type": "dq", "rules": [
+        {"id": "conv_role_upper", "type": "check_in_set", "column": "role", "values": ["USER", "ASSISTANT", "SYSTEM"]},
+        {"id": "conv_text_len_clean", "type": "check_length", "column": "text", "min_len": 30, "max_len": 1000},
+    ]},
+]})
+
+
+def conversations_checks(spark, sf_dir):
+    return CONVERSATIONS.compile(_t(spark, sf_dir, "conversations")).flat(["conv_id", "turn", "role"])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the seven-rule customer suite over the dirty view, summarised."""
     return dq_summary(spark, SF_SMOKE)
@@ -313,6 +354,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "events_quality_by_day": events_quality_by_day,
         "documents_checks": documents_checks,
         "pages_checks": pages_checks,
+        "orders_checks": orders_checks,
+        "conversations_checks": conversations_checks,
     }
 
 
@@ -449,4 +492,16 @@ def oracle_sql() -> dict[str, str]:
         "pages_checks": f"""WITH s AS (SELECT page_id, upper(url) AS url, regexp_matches(url, '{HTTPS_URL}') AS f1,
               length(url) <= 45 AS f2, length(html) >= 1000 AS f3, regexp_matches(upper(url), '^HTTP://') AS f4 FROM pages)
             SELECT page_id, url, {_flags(['url_https', 'url_len', 'html_len', 'url_upper_http'])} FROM s""",
+        "orders_checks": f"""WITH s AS (SELECT o_orderkey, lower(o_orderpriority) AS o_orderpriority,
+              o_orderstatus IN ('F', 'O') AS f1, regexp_matches(o_orderpriority, '^[1-3]-') AS f2,
+              o_totalprice BETWEEN 5000 AND 400000 AS f3, o_custkey >= 100 AS f4,
+              length(lower(o_orderpriority)) BETWEEN 5 AND 8 AS f5,
+              regexp_matches(lower(o_orderpriority), '^[0-9]-[a-z ]+') AS f6 FROM orders)
+            SELECT o_orderkey, o_orderpriority, {_flags(['ord_status_set', 'ord_priority_fmt', 'ord_price_range', 'ord_cust_min', 'ord_priority_len', 'ord_priority_lower'])} FROM s""",
+        "conversations_checks": f"""WITH s AS (SELECT conv_id, turn, upper(role) AS role,
+              role IN ('user', 'assistant') AS f1, length(text) BETWEEN 30 AND 1000 AS f2,
+              regexp_matches(text, '[.!]') AS f3, turn <= 6 AS f4,
+              upper(role) IN ('USER', 'ASSISTANT', 'SYSTEM') AS f5,
+              length(trim(text, ' ')) BETWEEN 30 AND 1000 AS f6 FROM conversations)
+            SELECT conv_id, turn, role, {_flags(['conv_role_set', 'conv_text_len', 'conv_text_sentence', 'conv_turn_max', 'conv_role_upper', 'conv_text_len_clean'])} FROM s""",
     }
