@@ -319,6 +319,34 @@ def conversations_checks(spark, sf_dir):
     return CONVERSATIONS.compile(_t(spark, sf_dir, "conversations")).flat(["conv_id", "turn", "role"])
 
 
+REFERENCES = Pipeline({"stages": [
+    {"name": "references", "type": "dq", "rules": [
+        {"id": "li_part_small", "type": "check_in_table", "column": "l_partkey", "table": "small_parts", "key": "p_partkey"},
+        {"id": "li_supp_solvent", "type": "check_in_table", "column": "l_suppkey", "table": "solvent_suppliers", "key": "s_suppkey"},
+        {"id": "li_order_known", "type": "check_in_table", "column": "l_orderkey", "table": "orders", "key": "o_orderkey"},
+    ]},
+]})
+
+
+def lineitem_references(spark, sf_dir):
+    # referential checks against tables Spark derives from the driver tables
+    tables = {
+        "small_parts": _t(spark, sf_dir, "part", spread_rows=False).where(F.col("p_size") <= 25),
+        "solvent_suppliers": _t(spark, sf_dir, "supplier", spread_rows=False).where(F.col("s_acctbal") > 0),
+        "orders": _t(spark, sf_dir, "orders", spread_rows=False),
+    }
+    return REFERENCES.compile(_t(spark, sf_dir, "lineitem"), tables=tables).flat(["l_orderkey", "l_linenumber"])
+
+
+GOOD_CUSTOMERS = _one("dq", [
+    {"id": "ord_cust_good", "type": "check_in_table", "column": "o_custkey", "table": "good_customers", "key": "c_custkey"}])
+
+
+def orders_customer_ref(spark, sf_dir):
+    good = _t(spark, sf_dir, "customer", spread_rows=False).where(F.col("c_acctbal") >= 0)
+    return GOOD_CUSTOMERS.compile(_t(spark, sf_dir, "orders"), tables={"good_customers": good}).flat(["o_orderkey", "o_custkey"])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the seven-rule customer suite over the dirty view, summarised."""
     return dq_summary(spark, SF_SMOKE)
@@ -356,6 +384,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pages_checks": pages_checks,
         "orders_checks": orders_checks,
         "conversations_checks": conversations_checks,
+        "lineitem_references": lineitem_references,
+        "orders_customer_ref": orders_customer_ref,
     }
 
 
@@ -504,4 +534,11 @@ def oracle_sql() -> dict[str, str]:
               upper(role) IN ('USER', 'ASSISTANT', 'SYSTEM') AS f5,
               length(trim(text, ' ')) BETWEEN 30 AND 1000 AS f6 FROM conversations)
             SELECT conv_id, turn, role, {_flags(['conv_role_set', 'conv_text_len', 'conv_text_sentence', 'conv_turn_max', 'conv_role_upper', 'conv_text_len_clean'])} FROM s""",
+        "lineitem_references": f"""WITH s AS (SELECT l_orderkey, l_linenumber,
+              l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 25) AS f1,
+              l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) AS f2,
+              l_orderkey IN (SELECT o_orderkey FROM orders) AS f3 FROM lineitem)
+            SELECT l_orderkey, l_linenumber, {_flags(['li_part_small', 'li_supp_solvent', 'li_order_known'])} FROM s""",
+        "orders_customer_ref": f"""SELECT o_orderkey, o_custkey,
+              {_st('o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)', 'ord_cust_good')} FROM orders""",
     }

@@ -28,7 +28,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from .registry import Param, register_check
+from .registry import DEFAULT_REGISTRY, Param, RuleDef, register_check
 
 
 class RuleTypeError(TypeError):
@@ -133,8 +133,8 @@ def check_in_set(c: Column, dtype: DataType, values: list[Any]) -> Column:
     """PASS iff the value equals a member of the list; case-sensitive.
 
     Catalyst turns a long literal list into a hash ``INSET``; the list lives
-    in the plan, so it must stay spec-sized (for table-sized sets see
-    ``operators.membership``).
+    in the plan, so it must stay spec-sized (for table-sized sets use
+    ``check_in_table``).
     """
     if isinstance(dtype, (ArrayType, MapType, StructType, BinaryType)):
         raise RuleTypeError(f"check_in_set needs a scalar column, got {dtype.simpleString()}")
@@ -169,3 +169,16 @@ def check_length(c: Column, dtype: DataType, min_len: int | None = None, max_len
     if min_len is not None:
         return n >= F.lit(min_len)
     return n <= F.lit(max_len)
+
+
+def _joined_only(*_a, **_k):  # pragma: no cover - compile joins instead
+    raise RuleTypeError("check_in_table is evaluated by a join at compile time")
+
+
+# PASS iff the value is one of the keys of a reference table (a DataFrame
+# given to ``Pipeline.compile(df, tables=...)`` or a catalog table name):
+# for sets too large to list in the spec, e.g. referential integrity.
+DEFAULT_REGISTRY.add(RuleDef(
+    "check_in_table", "dq", _joined_only,
+    (Param("table", "str"), Param("key", "str", required=False)), joins=True,
+))

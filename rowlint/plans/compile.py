@@ -23,7 +23,7 @@ import warnings
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
-from typing import Iterable, Sequence
+from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -106,8 +106,10 @@ class CompiledPipeline:
         df: DataFrame,
         registry: Registry | None = None,
         results_col: str = RESULTS_COL,
+        tables: Mapping[str, DataFrame] | None = None,
     ):
         self.spec = spec
+        self.tables = dict(tables or {})
         self.registry = registry or DEFAULT_REGISTRY
         self.results_col = results_col
         self.input_columns = list(df.columns)
@@ -144,7 +146,10 @@ class CompiledPipeline:
                     try:
                         path, dtype = self._target(schema, rule.column)
                         rdef = self.registry.lookup("dq", rule.type)
-                        pred = rdef.build(column_at(path), dtype, **rule.kwargs())
+                        if rdef.joins:
+                            df, pred = self._join_keys(df, rule, path, dtype, taken)
+                        else:
+                            pred = rdef.build(column_at(path), dtype, **rule.kwargs())
                     except (SpecError, RuleTypeError) as e:
                         problems.extend(getattr(e, "problems", [str(e)]))
                         continue
@@ -165,6 +170,39 @@ class CompiledPipeline:
             warnings.warn(n, SpecWarning, stacklevel=3)
         return df
 
+    def _join_keys(self, df: DataFrame, rule, path, dtype, taken: set[str]) -> tuple[DataFrame, Column]:
+        """Left-join the distinct reference keys; a hit is a PASS.
+
+        The reference side is reduced to its distinct keys (cast to the
+        checked column's type; keys that do not fit are dropped), so each row
+        matches at most once and the row count never changes.  No broadcast
+        hint: Spark broadcasts only when the (estimated, and with AQE the
+        measured) size of the distinct keys is under its threshold, and
+        otherwise plans a sort-merge join whose skewed partitions AQE splits.
+        """
+        p = rule.kwargs()
+        name = p["table"]
+        ref = self.tables.get(name)
+        if ref is None:
+            try:
+                ref = df.sparkSession.table(name)
+            except Exception as e:
+                raise SpecError([f"rule {rule.id}: no table {name!r} (pass tables={{...}} to compile)"]) from e
+        kpath, _ = resolve(ref.schema, p.get("key") or rule.column, self.case_sensitive)
+        n = len(self.rules)
+        kname, hname = f"__ref_key_{n}", f"__ref_hit_{n}"
+        while kname in taken or hname in taken:
+            kname, hname = "_" + kname, "_" + hname
+        taken.update((kname, hname))
+        keys = (
+            ref.select(column_at(kpath).try_cast(dtype).alias(kname))
+            .where(F.col(kname).isNotNull())
+            .distinct()
+            .withColumn(hname, F.lit(True))
+        )
+        joined = df.join(keys, column_at(path) == F.col(kname), "left")
+        return joined, F.col(hname)
+
     def _target(self, schema: StructType, name: str) -> tuple[list[str], DataType]:
         path, dtype = resolve(schema, name, self.case_sensitive)
         if path[0] == self.results_col:

@@ -67,12 +67,14 @@ class Pipeline:
         reg = kw.get("registry")
         return cls(PipelineSpec.from_rule_rows(rows, reg, kw.pop("on_unknown", "warn")), **kw)
 
-    def compile(self, df: DataFrame) -> CompiledPipeline:
-        return CompiledPipeline(self.spec, df, self.registry, self.results_col)
+    def compile(self, df: DataFrame, tables: Mapping[str, DataFrame] | None = None) -> CompiledPipeline:
+        """Bind to ``df``; ``tables`` names the reference tables of
+        ``check_in_table`` rules (otherwise looked up in the catalog)."""
+        return CompiledPipeline(self.spec, df, self.registry, self.results_col, tables)
 
-    def run(self, df: DataFrame) -> DataFrame:
+    def run(self, df: DataFrame, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
         """Stages in order; returns the annotated DataFrame (lazy, no action)."""
-        return self.compile(df).annotated()
+        return self.compile(df, tables).annotated()
 
     __call__ = run  # df.transform(pipeline)
 
