@@ -27,7 +27,7 @@ from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from ..functions.checks import RuleTypeError
 from ..functions.registry import DEFAULT_REGISTRY, Registry
@@ -138,8 +138,11 @@ class CompiledPipeline:
     def _build(self, df: DataFrame) -> DataFrame:
         problems: list[str] = []
         taken = set(self.input_columns)
+        # the schema rules resolve against is tracked here, not re-read from
+        # the JVM after every stage: verdict columns are not targets, and a
+        # cleanse changes only the types it reports
+        schema = df.schema
         for no, stage in enumerate(self.spec.stages, start=1):
-            schema = df.schema
             if stage.type == "dq":
                 new: dict[str, Column] = {}
                 for rule in stage.rules:
@@ -161,9 +164,17 @@ class CompiledPipeline:
                 if new and not problems:
                     df = df.withColumns(new)
             else:
-                exprs = self._cleanse_exprs(stage, schema, problems)
+                types: dict[tuple[str, ...], DataType] = {}
+                exprs = self._cleanse_exprs(stage, schema, problems, types)
                 if exprs and not problems:
                     df = df.withColumns(exprs)
+                    if any(len(k) > 1 for k in types):
+                        schema = StructType([f for f in df.schema.fields if f.name in set(schema.fieldNames())])
+                    else:
+                        schema = StructType([
+                            StructField(f.name, types.get((f.name,), f.dataType), f.nullable, f.metadata)
+                            for f in schema.fields
+                        ])
         if problems:
             raise SpecError(problems)
         for n in self.notes:
@@ -209,7 +220,8 @@ class CompiledPipeline:
             raise SpecError([f"rules cannot target the result column {self.results_col!r}"])
         return path, dtype
 
-    def _cleanse_exprs(self, stage, schema: StructType, problems: list[str]) -> dict[str, Column]:
+    def _cleanse_exprs(self, stage, schema: StructType, problems: list[str],
+                       types: dict[tuple[str, ...], DataType]) -> dict[str, Column]:
         # rules on one column compose in listed order; columns keep first-seen order
         chains: dict[tuple[str, ...], tuple[Column, DataType]] = {}
         for rule in stage.rules:
@@ -229,7 +241,8 @@ class CompiledPipeline:
             except (SpecError, RuleTypeError) as e:
                 problems.extend(getattr(e, "problems", [str(e)]))
         out: dict[str, Column] = {}
-        for path, (expr, _) in chains.items():
+        for path, (expr, out_type) in chains.items():
+            types[path] = out_type
             if len(path) == 1:
                 out[path[0]] = expr
                 continue

@@ -11,52 +11,29 @@ it scales with ``customer`` and needs no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# Fixed SQL text of the view; it runs unchanged on Spark and DuckDB.
-DIRTY_CUSTOMERS_SQL = """SELECT c_custkey AS id,
- CASE WHEN c_custkey % 11 = 0 THEN 'E' WHEN c_custkey % 11 = 1 THEN concat('  ', c_name, ' ') ELSE c_name END AS name,
- CASE c_custkey % 7 WHEN 0 THEN NULL
+from pyspark.sql import DataFrame
+
+# The view's columns as SQL expressions.  The same text runs
+# on Spark (``selectExpr``) and DuckDB (``DIRTY_CUSTOMERS_SQL``).
+DIRTY_COLUMNS = [
+    "c_custkey AS id",
+    "CASE WHEN c_custkey % 11 = 0 THEN 'E' WHEN c_custkey % 11 = 1 THEN concat('  ', c_name, ' ') ELSE c_name END AS name",
+    """CASE c_custkey % 7 WHEN 0 THEN NULL
    WHEN 1 THEN concat('  User.', cast(c_custkey AS string), '@Example.com ')
    WHEN 2 THEN concat('user', cast(c_custkey AS string))
    WHEN 3 THEN concat('User', cast(c_custkey AS string), '@Example.com')
-   ELSE concat('user', cast(c_custkey AS string), '@example.com') END AS email,
- CASE c_custkey % 13 WHEN 0 THEN NULL WHEN 1 THEN 'n/a' WHEN 2 THEN '150' WHEN 3 THEN '17'
-   ELSE cast(18 + c_custkey % 60 AS string) END AS age,
- CASE c_custkey % 9 WHEN 0 THEN 'USA' WHEN 1 THEN 'uk' WHEN 2 THEN 'CA' WHEN 3 THEN 'au'
-   WHEN 4 THEN 'DE' WHEN 5 THEN 'FR' WHEN 6 THEN NULL ELSE 'usa' END AS country,
- CASE WHEN c_custkey % 5 = 0 THEN '2023/01/03' WHEN c_custkey % 5 = 1 THEN NULL
-   ELSE concat('2023-01-0', cast(c_custkey % 9 + 1 AS string)) END AS signup_date
-FROM customer"""
-
+   ELSE concat('user', cast(c_custkey AS string), '@example.com') END AS email""",
+    """CASE c_custkey % 13 WHEN 0 THEN NULL WHEN 1 THEN 'n/a' WHEN 2 THEN '150' WHEN 3 THEN '17'
+   ELSE cast(18 + c_custkey % 60 AS string) END AS age""",
+    """CASE c_custkey % 9 WHEN 0 THEN 'USA' WHEN 1 THEN 'uk' WHEN 2 THEN 'CA' WHEN 3 THEN 'au'
+   WHEN 4 THEN 'DE' WHEN 5 THEN 'FR' WHEN 6 THEN NULL ELSE 'usa' END AS country""",
+    """CASE WHEN c_custkey % 5 = 0 THEN '2023/01/03' WHEN c_custkey % 5 = 1 THEN NULL
+   ELSE concat('2023-01-0', cast(c_custkey % 9 + 1 AS string)) END AS signup_date""",
+]
 
-def _pick(key: Column, mod: int, cases: dict[int, Column], default: Column) -> Column:
-    r = key % mod
-    out = None
-    for k, v in cases.items():
-        out = (F.when(r == k, v) if out is None else out.when(r == k, v))
-    return out.otherwise(default)
+DIRTY_CUSTOMERS_SQL = "SELECT " + ",\n ".join(DIRTY_COLUMNS) + "\nFROM customer"
 
 
 def dirty_customers(customer: DataFrame) -> DataFrame:
-    """The view above in DataFrame form (same rows, same types)."""
-    k = F.col("c_custkey")
-    ks = k.cast("string")
-    null = F.lit(None).cast("string")
-    return customer.select(
-        k.alias("id"),
-        _pick(k, 11, {0: F.lit("E"), 1: F.concat(F.lit("  "), F.col("c_name"), F.lit(" "))}, F.col("c_name")).alias("name"),
-        _pick(k, 7, {
-            0: null,
-            1: F.concat(F.lit("  User."), ks, F.lit("@Example.com ")),
-            2: F.concat(F.lit("user"), ks),
-            3: F.concat(F.lit("User"), ks, F.lit("@Example.com")),
-        }, F.concat(F.lit("user"), ks, F.lit("@example.com"))).alias("email"),
-        _pick(k, 13, {0: null, 1: F.lit("n/a"), 2: F.lit("150"), 3: F.lit("17")},
-              (F.lit(18) + k % 60).cast("string")).alias("age"),
-        _pick(k, 9, {0: F.lit("USA"), 1: F.lit("uk"), 2: F.lit("CA"), 3: F.lit("au"), 4: F.lit("DE"),
-                     5: F.lit("FR"), 6: null}, F.lit("usa")).alias("country"),
-        _pick(k, 5, {0: F.lit("2023/01/03"), 1: null},
-              F.concat(F.lit("2023-01-0"), (k % 9 + 1).cast("string"))).alias("signup_date"),
-    )
+    """The view over a ``customer`` DataFrame (one projection, no shuffle)."""
+    return customer.selectExpr(*DIRTY_COLUMNS)
