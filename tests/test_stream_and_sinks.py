@@ -96,3 +96,17 @@ def test_spread_only_when_under_split(spark):
     assert s.rdd.getNumPartitions() == max(target, df.rdd.getNumPartitions())
     many = df.repartition(target + 3)
     assert spread(many) is many
+
+
+def test_command_line_job(spark, tmp_path):
+    from rowlint.__main__ import main
+    from rowlint.specs import spec_path
+
+    csv = tmp_path / "customers.csv"
+    csv.write_text("id,name,email\n1,John Doe,John.Doe@Example.com\n3,Bob Jones,  Bob.Jones@Example.com \n5,Charlie Black,\n")
+    out = tmp_path / "out"
+    assert main(["--spec", spec_path("email_standardize"), "--input", str(csv), "--format", "csv",
+                 "--output", str(out), "--keys", "id"], spark=spark) == 0
+    flat = {r.id: (r.rule_1, r.rule_2, r.rule_3) for r in spark.read.parquet(str(out / "flat")).collect()}
+    assert flat == {"1": ("PASS", "PASS", "PASS"), "3": ("PASS", "FAIL", "PASS"), "5": ("FAIL", "FAIL", "FAIL")}
+    assert spark.read.parquet(str(out / "annotated")).count() == 3
