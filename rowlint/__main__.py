@@ -2,7 +2,6 @@
 
     python -m rowlint --spec checks.yaml --input data/customers.csv \\
         --format csv --output out/ --keys id name
-    (or spark-submit rowlint/__main__.py with the same arguments)
 
 Writes ``out/annotated`` (input columns, cleansed, plus ``_dq_results``),
 ``out/flat`` (keys plus one PASS/FAIL column per rule) and ``out/summary``

@@ -42,3 +42,22 @@ def test_missing_reference_table_is_a_spec_error(spark):
     df = spark.createDataFrame([(1, "a")], "k int, v string")
     with pytest.raises(SpecError, match="no table 'allowed'"):
         rule().compile(df)
+
+
+def test_broadcast_and_sort_merge_agree(spark):
+    import __spark_entry__ as E
+    from conftest import SF01
+
+    want = sorted(tuple(r) for r in E.lineitem_references(spark, SF01).collect())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = E.lineitem_references(spark, SF01)
+        import contextlib, io
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        assert "SortMergeJoin" in buf.getvalue() and "BroadcastHashJoin" not in buf.getvalue()
+        assert sorted(tuple(r) for r in df.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
