@@ -323,7 +323,16 @@ class CompiledPipeline:
         if self.incoming:
             return self.annotated().select(*keys, F.explode(F.col(quote(self.results_col))).alias("rule_id", "status"))
         if not self.rules:
-            return self._staged.select(*keys, F.lit(None).cast("string").alias("rule_id"), F.lit(None).cast("string").alias("status")).limit(0)
+            none = F.lit(None).cast("string")
+            return self._staged.select(*keys, none.alias("rule_id"), none.alias("status")).where(F.lit(False))
+        if len(self.rules) > WIDE_SUITE:
+            # small generated code for wide suites: explode the flag array by
+            # position and look the id up in one constant array
+            ids = F.array(*[F.lit(r.id) for r in self.rules])
+            flags = F.array(*[F.col(r.flag) for r in self.rules])
+            pos = self._staged.select(*keys, F.posexplode(flags).alias("__pos", "__ok"))
+            return pos.select(*keys, F.element_at(ids, F.col("__pos") + 1).alias("rule_id"),
+                              status_of(F.col("__ok")).alias("status"))
         entries = F.array(*[F.struct(F.lit(r.id).alias("rule_id"), r.status.alias("status")) for r in self.rules])
         return self._staged.select(*keys, F.inline(entries))
 
@@ -337,7 +346,7 @@ class CompiledPipeline:
             return one.select(
                 F.lit(None).cast("string").alias("rule_id"), F.col("n").alias("n_pass"), F.col("n").alias("n_fail"),
                 F.col("n").alias("n_rows"), F.lit(None).cast("double").alias("pass_rate"),
-            ).limit(0)
+            ).where(F.lit(False))
         entries = F.array(*[F.struct(F.lit(r.id).alias("rule_id"), F.col(f"p{i}").alias("n_pass")) for i, r in enumerate(self.rules)])
         return one.select(F.inline(entries), F.col("n")).select(
             "rule_id",
@@ -351,6 +360,8 @@ class CompiledPipeline:
         """Number of rules this row failed (0 for a clean row)."""
         if not self.rules:
             return F.lit(0)
+        if len(self.rules) > WIDE_SUITE:
+            return F.size(F.filter(F.array(*[F.col(r.flag) for r in self.rules]), lambda ok: ~ok))
         return reduce(add, [F.when(F.col(r.flag), 0).otherwise(1) for r in self.rules])
 
     def with_failed_count(self, name: str = "_dq_failed") -> DataFrame:

@@ -79,13 +79,21 @@ def test_wide_suite_map_equals_narrow_form(spark):
 
     rules = [{"id": f"r{i}", "type": "check_min", "column": "c_acctbal", "value": i * 100} for i in range(40)]
     p = Pipeline({"stages": [{"name": "s", "type": "dq", "rules": rules}]})
-    df = spark.read.parquet(f"{SF01}/customer.parquet").limit(50)
-    wide = p.run(df).select("c_custkey", F.map_entries("_dq_results").alias("e"))
+    df = spark.read.parquet(f"{SF01}/customer.parquet")
+
+    def outputs():
+        run = p.compile(df)
+        return (
+            sorted(run.annotated().select("c_custkey", F.map_entries("_dq_results").alias("e")).collect()),
+            sorted(run.exploded(["c_custkey"]).collect()),
+            sorted(run.with_failed_count().select("c_custkey", "_dq_failed").collect()),
+        )
+
+    wide = outputs()
     old = C.WIDE_SUITE
     C.WIDE_SUITE = 1000
     try:
-        narrow = p.run(df).select("c_custkey", F.map_entries("_dq_results").alias("e"))
-        assert sorted(wide.collect()) == sorted(narrow.collect())
+        assert outputs() == wide
     finally:
         C.WIDE_SUITE = old
     assert "map_from_arrays" in plan(p.run(df), "simple")
