@@ -36,6 +36,8 @@ class Pipeline:
             self.spec = PipelineSpec.from_dict(config, self.registry, on_unknown)
         elif isinstance(config, str) and "\n" not in config and os.path.exists(config):
             self.spec = PipelineSpec.load(config, registry=self.registry, on_unknown=on_unknown)
+        elif isinstance(config, str) and "\n" not in config and config.endswith((".yaml", ".yml")):
+            raise FileNotFoundError(f"no spec file {config!r} (use Pipeline.load(path, spark=...) for remote paths)")
         elif isinstance(config, str):
             self.spec = PipelineSpec.from_yaml(config, self.registry, on_unknown)
         else:

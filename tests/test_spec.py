@@ -89,3 +89,8 @@ def test_load_through_spark(spark, tmp_path):
     p.write_text(open(spec_path("email_standardize")).read())
     a = Pipeline.load("file://" + str(p), spark=spark)
     assert a.rule_ids == ["rule_1", "rule_2", "rule_3"]
+
+
+def test_missing_spec_file_is_reported():
+    with pytest.raises(FileNotFoundError):
+        Pipeline("no/such/spec.yaml")
