@@ -339,21 +339,27 @@ class CompiledPipeline:
     def summary(self) -> DataFrame:
         """One row per rule of this pipeline: ``rule_id, n_pass, n_fail,
         n_rows, pass_rate``.  One global aggregate of conditional counts:
-        each task ships one partial row, so the shuffle is tiny at any scale."""
-        aggs = [F.count_if(F.col(r.flag)).alias(f"p{i}") for i, r in enumerate(self.rules)]
-        one = self._staged.agg(*aggs, F.count(F.lit(1)).alias("n"))
+        each task ships one partial row, so the shuffle is tiny at any scale.
+        The counts are then unpivoted with ``stack``."""
         if not self.rules:
-            return one.select(
-                F.lit(None).cast("string").alias("rule_id"), F.col("n").alias("n_pass"), F.col("n").alias("n_fail"),
-                F.col("n").alias("n_rows"), F.lit(None).cast("double").alias("pass_rate"),
+            none = F.lit(None)
+            n = F.count(F.lit(1))
+            return self._staged.agg(n.alias("n")).select(
+                none.cast("string").alias("rule_id"), F.col("n").alias("n_pass"), F.col("n").alias("n_fail"),
+                F.col("n").alias("n_rows"), none.cast("double").alias("pass_rate"),
             ).where(F.lit(False))
-        entries = F.array(*[F.struct(F.lit(r.id).alias("rule_id"), F.col(f"p{i}").alias("n_pass")) for i, r in enumerate(self.rules)])
-        return one.select(F.inline(entries), F.col("n")).select(
-            "rule_id",
-            "n_pass",
-            (F.col("n") - F.col("n_pass")).alias("n_fail"),
-            F.col("n").alias("n_rows"),
-            F.try_divide(F.col("n_pass"), F.col("n")).alias("pass_rate"),
+        # built as SQL text: two calls into the JVM instead of ~10 per rule
+        counts = [f"count_if({quote(r.flag)}) AS p{i}" for i, r in enumerate(self.rules)]
+        one = self._staged.selectExpr(*counts, "count(1) AS n")
+        if all("'" not in r.id for r in self.rules):
+            pairs = ", ".join(f"r'{r.id}', p{i}" for i, r in enumerate(self.rules))
+            per_rule = one.selectExpr(f"stack({len(self.rules)}, {pairs}) AS (rule_id, n_pass)", "n")
+        else:
+            entries = F.array(*[F.struct(F.lit(r.id).alias("rule_id"), F.col(f"p{i}").alias("n_pass"))
+                                for i, r in enumerate(self.rules)])
+            per_rule = one.select(F.inline(entries), F.col("n"))
+        return per_rule.selectExpr(
+            "rule_id", "n_pass", "n - n_pass AS n_fail", "n AS n_rows", "try_divide(n_pass, n) AS pass_rate"
         )
 
     def failed_count(self) -> Column:

@@ -212,3 +212,16 @@ def test_missing_column_fails_before_data_moves(spark):
     df = spark.createDataFrame([("a",)], "v string")
     with pytest.raises(SpecError, match="not found"):
         one({"id": "r", "type": "check_not_null", "column": "nope"}).compile(df)
+
+
+def test_summary_with_awkward_rule_ids(spark):
+    df = spark.createDataFrame([("a",), (None,)], "v string")
+    ids = ["it's", "back\\\\slash", "dotted.id", "émoji😀"]
+    p = Pipeline({"stages": [{"name": "s", "type": "dq", "rules": [
+        {"id": i, "type": "check_not_null", "column": "v"} for i in ids]}]})
+    got = {r.rule_id: (r.n_pass, r.n_fail, r.n_rows) for r in p.compile(df).summary().collect()}
+    assert got == {i: (1, 1, 2) for i in ids}
+    p2 = Pipeline({"stages": [{"name": "s", "type": "dq", "rules": [
+        {"id": i, "type": "check_not_null", "column": "v"} for i in ids[1:]]}]})
+    got = {r.rule_id for r in p2.compile(df).summary().collect()}
+    assert got == set(ids[1:])
