@@ -6,6 +6,8 @@ that stage; reports summarise verdicts per rule or list one row per finding.
 
 from .functions import DEFAULT_REGISTRY, Param, Registry, RuleTypeError, register_check, register_cleanser
 from .operators import derive_rules, report, suite_pipeline
+from .sources import read_csv, read_table, spread, write_annotated, write_reports, write_split
+from .streaming import annotate_stream, quality_by_window
 from .plans import (
     FAIL,
     PASS,
@@ -34,7 +36,15 @@ __all__ = [
     "SpecError",
     "SpecWarning",
     "Stage",
+    "annotate_stream",
     "derive_rules",
+    "quality_by_window",
+    "read_csv",
+    "read_table",
+    "spread",
+    "write_annotated",
+    "write_reports",
+    "write_split",
     "register_check",
     "register_cleanser",
     "report",
