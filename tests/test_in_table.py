@@ -61,3 +61,22 @@ def test_broadcast_and_sort_merge_agree(spark):
         assert sorted(tuple(r) for r in df.collect()) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    from pyspark.sql import functions as F
+
+    n = 3000
+    df = spark.range(n).select(
+        F.col("id").alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("v"), (F.col("id") % 50).cast("string"))).alias("v"),
+    )
+    allowed = spark.createDataFrame([("hot",)] * 5 + [(f"v{i}",) for i in range(0, 50, 2)], "v string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = rule().compile(df, tables={"allowed": allowed}).summary().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    want_pass = sum(1 for i in range(n) if i % 3 == 0 or (i % 50) % 2 == 0)
+    assert [(r.n_pass, r.n_rows) for r in out] == [(want_pass, n)]
