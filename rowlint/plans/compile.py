@@ -83,6 +83,39 @@ def resolve(schema: StructType, name: str, case_sensitive: bool = False) -> tupl
     return path, dtype
 
 
+_VALID_PATTERNS: set[str] = set()  # patterns Spark already compiled in this process
+
+
+def invalid_patterns(spark, pats: Sequence[tuple[str, str]]) -> list[str]:
+    """``(rule id, pattern)`` pairs Spark's regex engine rejects, as problems.
+
+    Tried on a one-row local relation (the optimizer folds it on the driver;
+    no data is read), once per distinct pattern per process, so a bad pattern
+    fails the plan instead of a task hours into a large job."""
+    todo = [(rid, p) for rid, p in pats if p not in _VALID_PATTERNS]
+    if not todo:
+        return []
+    probe = spark.createDataFrame([("",)], "s string")
+
+    def fails(ps) -> bool:
+        try:
+            probe.select(*[F.col("s").rlike(p).alias(f"p{i}") for i, (_, p) in enumerate(ps)]).collect()
+            return False
+        except Exception:
+            return True
+
+    if not fails(todo):
+        _VALID_PATTERNS.update(p for _, p in todo)
+        return []
+    bad = []
+    for rid, p in todo:
+        if fails([(rid, p)]):
+            bad.append(f"rule {rid}: invalid regex {p!r}")
+        else:
+            _VALID_PATTERNS.add(p)
+    return bad
+
+
 @dataclass(frozen=True)
 class CompiledRule:
     id: str
@@ -175,6 +208,11 @@ class CompiledPipeline:
                             StructField(f.name, types.get((f.name,), f.dataType), f.nullable, f.metadata)
                             for f in schema.fields
                         ])
+        if not problems:
+            pats = [(r.id, r.kwargs()["pattern"]) for st in self.spec.stages if st.type == "dq"
+                    for r in st.rules if r.type == "check_regex"]
+            if pats:
+                problems.extend(invalid_patterns(df.sparkSession, pats))
         if problems:
             raise SpecError(problems)
         for n in self.notes:

@@ -14,7 +14,7 @@ from typing import Any, Mapping
 from pyspark.sql import DataFrame
 
 from ..functions.registry import DEFAULT_REGISTRY, Registry
-from .compile import RESULTS_COL, CompiledPipeline
+from .compile import RESULTS_COL, CompiledPipeline, invalid_patterns
 from .spec import PipelineSpec
 
 
@@ -86,22 +86,9 @@ class Pipeline:
     def check_patterns(self, spark) -> list[str]:
         """Problems with the regex patterns, found by Spark's own (Java) regex
         engine on a one-row local relation: no data is read."""
-        from pyspark.sql import functions as F
-
         pats = [(r.id, r.kwargs()["pattern"]) for s in self.spec.stages if s.type == "dq"
                 for r in s.rules if r.type == "check_regex"]
-        probe = spark.createDataFrame([("",)], "s string")
-
-        def fails(ps):
-            try:
-                probe.select(*[F.col("s").rlike(p).alias(f"p{i}") for i, (_, p) in enumerate(ps)]).collect()
-                return False
-            except Exception:
-                return True
-
-        if not pats or not fails(pats):
-            return []
-        return [f"rule {rid}: invalid regex {p!r}" for rid, p in pats if fails([(rid, p)])]
+        return invalid_patterns(spark, pats)
 
     @property
     def rule_ids(self) -> list[str]:

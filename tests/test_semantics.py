@@ -225,3 +225,9 @@ def test_summary_with_awkward_rule_ids(spark):
         {"id": i, "type": "check_not_null", "column": "v"} for i in ids[1:]]}]})
     got = {r.rule_id for r in p2.compile(df).summary().collect()}
     assert got == set(ids[1:])
+
+
+def test_s5_bad_pattern_fails_the_plan_not_a_task(spark):
+    df = spark.createDataFrame([("a",)], "v string")
+    with pytest.raises(SpecError, match="invalid regex"):
+        one({"id": "r", "type": "check_regex", "column": "v", "pattern": "[a-"}).compile(df)
