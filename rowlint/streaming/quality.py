@@ -63,3 +63,31 @@ def quality_by_window(
         (F.col("n") - F.col("n_pass")).alias("n_fail"),
         F.col("n").alias("n_rows"),
     )
+
+
+def stream_checkpoint(spark, name: str) -> str:
+    """Checkpoint folder for a streaming query, under the shared folder the
+    session names (``spark.checkpoint.dir``), so a restarted query or a lost
+    executor resumes from the same state.  Refuses to guess a local path."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext access (e.g. Spark Connect)
+            base = None
+    if not base:
+        raise ValueError("no spark.checkpoint.dir in this session: set it to a shared folder "
+                         "or pass a checkpoint location yourself")
+    return f"{base.rstrip('/')}/rowlint-streams/{name}"
+
+
+def write_annotated_stream(pipeline: Pipeline, stream: DataFrame, path: str, name: str,
+                           format: str = "parquet", available_now: bool = False):
+    """Start writing the annotated stream to ``path`` (append, exactly-once
+    file sink) with its checkpoint under ``spark.checkpoint.dir``."""
+    spark = stream.sparkSession
+    w = (annotate_stream(pipeline, stream).writeStream.format(format).outputMode("append")
+         .option("path", path).option("checkpointLocation", stream_checkpoint(spark, name)).queryName(name))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()

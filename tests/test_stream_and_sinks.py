@@ -110,3 +110,16 @@ def test_command_line_job(spark, tmp_path):
     flat = {r.id: (r.rule_1, r.rule_2, r.rule_3) for r in spark.read.parquet(str(out / "flat")).collect()}
     assert flat == {"1": ("PASS", "PASS", "PASS"), "3": ("PASS", "FAIL", "PASS"), "5": ("FAIL", "FAIL", "FAIL")}
     assert spark.read.parquet(str(out / "annotated")).count() == 3
+
+
+def test_stream_writer_checkpoints_under_the_session_folder(spark, tmp_path):
+    from rowlint.streaming import stream_checkpoint, write_annotated_stream
+
+    src = events_dir(tmp_path)
+    schema = spark.read.parquet(src).schema
+    ckpt = stream_checkpoint(spark, "events_dq_test")
+    assert ckpt.endswith("/rowlint-streams/events_dq_test")
+    q = write_annotated_stream(Pipeline(EVENTS), spark.readStream.schema(schema).parquet(src),
+                               str(tmp_path / "annotated"), "events_dq_test", available_now=True)
+    q.awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "annotated")).count() == 1000
