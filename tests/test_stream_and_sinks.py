@@ -115,11 +115,14 @@ def test_command_line_job(spark, tmp_path):
 def test_stream_writer_checkpoints_under_the_session_folder(spark, tmp_path):
     from rowlint.streaming import stream_checkpoint, write_annotated_stream
 
+    import uuid
+
     src = events_dir(tmp_path)
     schema = spark.read.parquet(src).schema
-    ckpt = stream_checkpoint(spark, "events_dq_test")
-    assert ckpt.endswith("/rowlint-streams/events_dq_test")
+    name = f"events_dq_{uuid.uuid4().hex}"  # the folder is shared and outlives this run
+    ckpt = stream_checkpoint(spark, name)
+    assert ckpt.endswith(f"/rowlint-streams/{name}")
     q = write_annotated_stream(Pipeline(EVENTS), spark.readStream.schema(schema).parquet(src),
-                               str(tmp_path / "annotated"), "events_dq_test", available_now=True)
+                               str(tmp_path / "annotated"), name, available_now=True)
     q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "annotated")).count() == 1000
