@@ -21,9 +21,8 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        if math.isnan(v):
-            return "NaN"
-        return round(v, 9)
+        # exact: the driver hashes values, so no rounding slack here
+        return "NaN" if math.isnan(v) else repr(v)
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     if isinstance(v, (list, tuple)):
