@@ -126,3 +126,17 @@ def test_stream_writer_checkpoints_under_the_session_folder(spark, tmp_path):
                                str(tmp_path / "annotated"), name, available_now=True)
     q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "annotated")).count() == 1000
+
+
+def test_write_annotated_partitioned_and_rule_ids(spark, tmp_path):
+    from rowlint import report
+    from rowlint.sources import write_annotated
+
+    df = spark.read.parquet(f"{SF001}/events.parquet")
+    run = Pipeline(EVENTS).compile(df)
+    write_annotated(run, str(tmp_path / "ann"), partition_by=["event_type"])
+    back = spark.read.parquet(str(tmp_path / "ann"))
+    assert back.count() == 1000
+    assert sorted(r.rule_id for r in report.rule_ids(back).collect()) == ["big", "kind", "kind_upper"]
+    assert {r.event_type for r in back.select("event_type").distinct().collect()} == {
+        "VIEW", "CLICK", "PURCHASE", "SIGNUP", "ERROR"}
