@@ -140,3 +140,10 @@ def test_write_annotated_partitioned_and_rule_ids(spark, tmp_path):
     assert sorted(r.rule_id for r in report.rule_ids(back).collect()) == ["big", "kind", "kind_upper"]
     assert {r.event_type for r in back.select("event_type").distinct().collect()} == {
         "VIEW", "CLICK", "PURCHASE", "SIGNUP", "ERROR"}
+
+
+def test_spread_round_robin_keeps_every_row(spark):
+    df = spark.read.parquet(f"{SF001}/events.parquet")
+    s = spread(df, parallelism=df.rdd.getNumPartitions() + 4)
+    assert s.rdd.getNumPartitions() == df.rdd.getNumPartitions() + 4
+    assert sorted(r.event_id for r in s.select("event_id").collect()) == sorted(r.event_id for r in df.select("event_id").collect())
