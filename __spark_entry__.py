@@ -32,6 +32,15 @@ from rowlint.sources.dirty import DIRTY_CUSTOMERS_SQL
 from rowlint.specs import metadata_frame, spec_path
 from rowlint.streaming.quality import quality_by_window
 
+try:  # the training-data operators are optional: the rest works without them
+    from rowlint.llm import queries as _llm
+except ImportError:
+    _llm = None
+try:
+    import corpus_pipeline as _pipeline
+except ImportError:
+    _pipeline = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 # The mail and date patterns of the bundled specs.
@@ -396,6 +405,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "conversations_checks": conversations_checks,
         "lineitem_references": lineitem_references,
         "orders_customer_ref": orders_customer_ref,
+        **(_llm.QUERIES if _llm else {}),
+        **({"pipeline": _pipeline.run} if _pipeline else {}),
     }
 
 
@@ -551,4 +562,6 @@ def oracle_sql() -> dict[str, str]:
             SELECT l_orderkey, l_linenumber, {_flags(['li_part_small', 'li_supp_solvent', 'li_order_known'])} FROM s""",
         "orders_customer_ref": f"""SELECT o_orderkey, o_custkey,
               {_st('o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)', 'ord_cust_good')} FROM orders""",
+        **(_llm.SQL if _llm else {}),
+        **({"pipeline": _pipeline.ORACLE_SQL} if _pipeline and _pipeline.ORACLE_SQL else {}),
     }
