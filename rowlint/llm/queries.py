@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from .decontam import op7_decontamination
 from .line_dedup import OP9_SQL, op9_line_dedup
 from .mixing import OP10_SQL, op10_mixing
+from .near_dedup import op1_near_dedup
+from .toxicity import op5_toxicity
 from .warc import OP8_SQL, op8_warc
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
+    "op5_toxicity": op5_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
