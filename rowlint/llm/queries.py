@@ -6,11 +6,15 @@ from .decontam import op7_decontamination
 from .line_dedup import OP9_SQL, op9_line_dedup
 from .mixing import OP10_SQL, op10_mixing
 from .near_dedup import op1_near_dedup
+from .pii import op4_pii
+from .secrets_scan import op3_secrets
 from .toxicity import op5_toxicity
 from .warc import OP8_SQL, op8_warc
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op3_secrets": op3_secrets,
+    "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
     "op7_decontamination": op7_decontamination,
     "op8_warc": op8_warc,
