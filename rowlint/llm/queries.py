@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontam import op7_decontamination
 from .line_dedup import OP9_SQL, op9_line_dedup
 from .mixing import OP10_SQL, op10_mixing
+from .mtree import OP2_SQL, op2_topk
 from .near_dedup import op1_near_dedup
 from .pii import op4_pii
 from .secrets_scan import op3_secrets
@@ -13,6 +14,7 @@ from .warc import OP8_SQL, op8_warc
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_topk": op2_topk,
     "op3_secrets": op3_secrets,
     "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
@@ -23,6 +25,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_topk": OP2_SQL,
     "op8_warc": OP8_SQL,
     "op9_line_dedup": OP9_SQL,
     "op10_mixing": OP10_SQL,
