@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .context_mixing import op6_lm_score
 from .decontam import op7_decontamination
 from .line_dedup import OP9_SQL, op9_line_dedup
 from .mixing import OP10_SQL, op10_mixing
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_secrets": op3_secrets,
     "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
+    "op6_lm_score": op6_lm_score,
     "op7_decontamination": op7_decontamination,
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
