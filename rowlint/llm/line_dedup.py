@@ -1,6 +1,7 @@
 """Line dedup: repeated lines stay only in the first document that holds them.
 
-Method.  Every line's key is hashed; the slim rows (hash, document, position)
+Method.  Every line's key (the line without ASCII white space at both ends,
+A-Z lower-cased) is hashed; the slim rows (hash, document, position)
 are range-partitioned by hash and sorted by document and position inside each
 partition, and one streaming pass marks first occurrences.  The result is a
 compressed keep bitmap per document (run lengths), never text; texts are cut
@@ -25,11 +26,6 @@ MIN_CHARS = 10
 SALTS = 256
 
 
-def line_key(line: Column) -> Column:
-    """The line without ASCII white space at both ends, A-Z lower-cased."""
-    return lower_ascii(F.btrim(line, F.lit(SPACE)))
-
-
 def _rows(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     # t tells rows apart that repeat a doc_id with another text
     text = F.coalesce(col(text_col), F.lit(""))
@@ -45,12 +41,13 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     without an entry keep every line.  Rows with a null id take no part.
     """
     rows = _rows(docs, id_col, text_col).where(F.col("__d").isNotNull())
-    split = F.split("__x", "\n")
+    # the trimmed line is as long as its key: short lines go before any case mapping
     lines = (
-        rows.select(F.col("__d").alias("d"), F.col("__t").alias("t"), F.size(split).alias("n"), F.posexplode(split).alias("p", "line"))
-        .select("d", "t", "n", "p", line_key(F.col("line")).alias("k"))
+        rows.select(F.col("__d").alias("d"), F.col("__t").alias("t"), F.split("__x", "\n").alias("a"))
+        .select("d", "t", F.size("a").alias("n"), F.posexplode("a").alias("p", "line"))
+        .select("d", "t", "n", "p", F.btrim("line", F.lit(SPACE)).alias("k"))
         .where(F.char_length("k") >= min_chars)
-        .select(F.unhex(F.md5("k")).alias("h"), F.pmod(F.xxhash64("d"), F.lit(salts)).cast("int").alias("s"), "d", "t", "n", "p")
+        .select(F.unhex(F.md5(lower_ascii(F.col("k")))).alias("h"), F.pmod(F.xxhash64("d"), F.lit(salts)).cast("int").alias("s"), "d", "t", "n", "p")
     )
     lines = written(lines, "lines")
     # RangePartitioning(h, s) already clusters (h, s): the window adds no exchange
