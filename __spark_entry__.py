@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowlint import DEFAULT_REGISTRY, Param, Pipeline, SpecWarning, derive_rules, register_check, report
-from rowlint.sources import dirty_customers, spread
+from rowlint.operators import profile_columns
+from rowlint.sources import dirty_customers
 from rowlint.sources.dirty import DIRTY_CUSTOMERS_SQL
 from rowlint.specs import metadata_frame, spec_path
 from rowlint.streaming.quality import quality_by_window
@@ -58,23 +59,8 @@ JSON_INT_FIELD = '"k": [0-9]+'
 HTTPS_URL = r"^https://"
 
 
-# unique keys of the fact-sized driver tables: hashing on them spreads rows
-# evenly; dimension-sized tables (customer, part, supplier) are read as they
-# are, where an exchange would cost more than the checks
-UNIQUE_KEYS = {
-    "lineitem": ["l_orderkey", "l_linenumber"],
-    "events": ["event_id"],
-    "documents": ["doc_id"],
-    "pages": ["page_id"],
-    "orders": ["o_orderkey"],
-    "conversations": ["conv_id", "turn"],
-}
-
-
-def _t(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    # row-local checks: spread a scan that under-fills the cores (no-op at scale)
-    return spread(df, UNIQUE_KEYS[name]) if spread_rows and name in UNIQUE_KEYS else df
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,12 +148,16 @@ def suite_chained(spark, sf_dir):
 
 
 def unknown_rule_skipped(spark, sf_dir):
+    # an unknown stage type and an unknown rule type: both skipped
     with warnings.catch_warnings():
         warnings.simplefilter("ignore", SpecWarning)
-        p = _one("dq", [
-            {"id": "dq_email_not_null", "type": "check_not_null", "column": "email"},
-            {"id": "dq_email_domain", "type": "check_email_domain", "column": "email"},
-        ])
+        p = Pipeline({"stages": [
+            {"name": "enrich", "type": "enrich", "rules": [{"type": "clean_lowercase", "column": "email"}]},
+            {"name": "checks", "type": "dq", "rules": [
+                {"id": "dq_email_not_null", "type": "check_not_null", "column": "email"},
+                {"id": "dq_email_domain", "type": "check_email_domain", "column": "email"},
+            ]},
+        ]})
     return p.compile(_dirty(spark, sf_dir)).exploded(["id"])
 
 
@@ -234,8 +224,7 @@ SUMMARY12 = _numeric_min_suite(12)
 
 
 def lineitem_summary(spark, sf_dir):
-    # a few numeric compares per row: cheaper than any exchange, so no spread
-    return SUMMARY12.compile(_t(spark, sf_dir, "lineitem", spread_rows=False)).summary()
+    return SUMMARY12.compile(_t(spark, sf_dir, "lineitem")).summary()
 
 
 EVENTS = Pipeline({"stages": [
@@ -350,9 +339,9 @@ REFERENCES = Pipeline({"stages": [
 def lineitem_references(spark, sf_dir):
     # referential checks against tables Spark derives from the driver tables
     tables = {
-        "small_parts": _t(spark, sf_dir, "part", spread_rows=False).where(F.col("p_size") <= 25),
-        "solvent_suppliers": _t(spark, sf_dir, "supplier", spread_rows=False).where(F.col("s_acctbal") > 0),
-        "orders": _t(spark, sf_dir, "orders", spread_rows=False),
+        "small_parts": _t(spark, sf_dir, "part").where(F.col("p_size") <= 25),
+        "solvent_suppliers": _t(spark, sf_dir, "supplier").where(F.col("s_acctbal") > 0),
+        "orders": _t(spark, sf_dir, "orders"),
     }
     return REFERENCES.compile(_t(spark, sf_dir, "lineitem"), tables=tables).flat(["l_orderkey", "l_linenumber"])
 
@@ -362,10 +351,39 @@ GOOD_CUSTOMERS = _one("dq", [
 
 
 def orders_customer_ref(spark, sf_dir):
-    good = _t(spark, sf_dir, "customer", spread_rows=False).where(F.col("c_acctbal") >= 0)
+    good = _t(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
     return GOOD_CUSTOMERS.compile(_t(spark, sf_dir, "orders"), tables={"good_customers": good}).flat(["o_orderkey", "o_custkey"])
 
 
+# -- sets of numbers and dates, with members that do not fit the column ----
+with warnings.catch_warnings():
+    warnings.simplefilter("ignore", SpecWarning)
+    SETS = _one("dq", [
+        {"id": "int_set", "type": "check_in_set", "column": "l_linenumber", "values": [1, 2.0, 1.5, True, "3", "x", 1 << 40]},
+        {"id": "double_set", "type": "check_in_set", "column": "l_quantity", "values": [10, 20.0, "30", 40.5, False]},
+        {"id": "decimal_set", "type": "check_in_set", "column": "tax", "values": [0.01, 0.029, 0.06, "0.08", 1e9]},
+        {"id": "date_set", "type": "check_in_set", "column": "ship", "values": ["1995", "1995-01", "1995-03-15", "1996-06-30", "never"]},
+    ])
+
+
+def lineitem_sets(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem").withColumns({"tax": F.col("l_tax").cast("decimal(10,2)"), "ship": F.col("l_shipdate").cast("date")})
+    return SETS.compile(li).flat(["l_orderkey", "l_linenumber"])
+
+
+def events_quality_untimed(spark, sf_dir):
+    # every seventh event without a time: counted under a NULL window
+    ev = _t(spark, sf_dir, "events").withColumn("ts", F.when(F.col("event_id") % 7 != 0, F.col("ts")))
+    return quality_by_window(EVENTS.compile(ev), "ts", "1 day")
+
+
+def documents_profile_rules(spark, sf_dir):
+    # a rule suite derived from the columns as they are
+    meta = profile_columns(_t(spark, sf_dir, "documents").withColumn("text", F.when(F.col("doc_id") % 5 != 0, F.col("text"))),
+                           patterns={"lang": "^[a-z]{2}$"}, enums={"lang": ["en", "de", "fr", "es"]})
+    return derive_rules(meta).withColumn("values", F.array_join("values", ","))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the seven-rule customer suite over the dirty view, summarised."""
     return dq_summary(spark, SF_SMOKE)
@@ -405,6 +423,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "conversations_checks": conversations_checks,
         "lineitem_references": lineitem_references,
         "orders_customer_ref": orders_customer_ref,
+        "lineitem_sets": lineitem_sets,
+        "events_quality_untimed": events_quality_untimed,
+        "documents_profile_rules": documents_profile_rules,
         **(_llm.QUERIES if _llm else {}),
         **({"pipeline": _pipeline.run} if _pipeline else {}),
     }
@@ -562,6 +583,34 @@ def oracle_sql() -> dict[str, str]:
             SELECT l_orderkey, l_linenumber, {_flags(['li_part_small', 'li_supp_solvent', 'li_order_known'])} FROM s""",
         "orders_customer_ref": f"""SELECT o_orderkey, o_custkey,
               {_st('o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)', 'ord_cust_good')} FROM orders""",
+        "lineitem_sets": f"""WITH s AS (SELECT l_orderkey, l_linenumber, l_linenumber IN (1, 2, 3) AS f1, l_quantity IN (10, 20, 30, 40.5) AS f2,
+              CAST(l_tax AS DECIMAL(10, 2)) IN (0.01, 0.06, 0.08) AS f3,
+              CAST(l_shipdate AS DATE) IN (DATE '1995-03-15', DATE '1996-06-30') AS f4 FROM lineitem)
+            SELECT l_orderkey, l_linenumber, {_flags(['int_set', 'double_set', 'decimal_set', 'date_set'])} FROM s""",
+        "events_quality_untimed": f"""WITH s AS (SELECT * REPLACE (CASE WHEN event_id % 7 <> 0 THEN ts END AS ts) FROM ({_EV})),
+            e AS ({' UNION ALL '.join(f"SELECT ts, '{rid}' AS rule_id, coalesce(f{i}, false) AS ok FROM s" for i, rid in enumerate(_EV_IDS, start=1))})
+            SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
+                   rule_id, count(*) FILTER (WHERE ok) AS n_pass, count(*) FILTER (WHERE NOT ok) AS n_fail, count(*) AS n_rows
+            FROM e GROUP BY ALL""",
+        "documents_profile_rules": """WITH d AS (SELECT * REPLACE (CASE WHEN doc_id % 5 <> 0 THEN text END AS text) FROM documents),
+            p(ordinal, name, kind, nulls, len, lo, hi, pattern, vals) AS (
+              SELECT 0, 'doc_id', 'n', count(*) - count(doc_id), NULL, min(doc_id), max(doc_id), NULL, NULL FROM d
+              UNION ALL SELECT 1, 'text', 't', count(*) - count(text), max(length(text)), NULL, NULL, NULL, NULL FROM d
+              UNION ALL SELECT 2, 'lang', 't', count(*) - count(lang), max(length(lang)), NULL, NULL, '^[a-z]{2}$', 'en,de,fr,es' FROM d
+              UNION ALL SELECT 3, 'source', 't', count(*) - count(source), max(length(source)), NULL, NULL, NULL, NULL FROM d
+              UNION ALL SELECT 4, 'n_chars', 'n', count(*) - count(n_chars), NULL, min(n_chars), max(n_chars), NULL, NULL FROM d),
+            r AS (
+              SELECT 1 AS stage_no, 'Ingestion Quality' AS stage_name, 'dq' AS stage_type, ordinal, 1 AS rule_pos, 'dq_' || name || '_not_null' AS id,
+                'check_not_null' AS type, name, NULL AS pattern, NULL AS value, NULL AS vals, NULL AS min_len, NULL AS max_len FROM p WHERE nulls = 0
+              UNION ALL SELECT 1, 'Ingestion Quality', 'dq', ordinal, 2, 'dq_' || name || '_regex', 'check_regex', name, pattern, NULL, NULL, NULL, NULL FROM p WHERE pattern IS NOT NULL
+              UNION ALL SELECT 2, 'Standardization', 'cleanse', ordinal, 3, NULL, 'clean_trim', name, NULL, NULL, NULL, NULL, NULL FROM p WHERE kind = 't'
+              UNION ALL SELECT 3, 'Business Logic Verification', 'dq', ordinal, 5, 'dq_' || name || '_min', 'check_min', name, NULL, lo, NULL, NULL, NULL FROM p WHERE lo IS NOT NULL
+              UNION ALL SELECT 3, 'Business Logic Verification', 'dq', ordinal, 6, 'dq_' || name || '_max', 'check_max', name, NULL, hi, NULL, NULL, NULL FROM p WHERE hi IS NOT NULL
+              UNION ALL SELECT 3, 'Business Logic Verification', 'dq', ordinal, 7, 'dq_' || name || '_valid_set', 'check_in_set', name, NULL, NULL, vals, NULL, NULL FROM p WHERE vals IS NOT NULL
+              UNION ALL SELECT 3, 'Business Logic Verification', 'dq', ordinal, 8, 'dq_' || name || '_len', 'check_length', name, NULL, NULL, NULL, 0, len FROM p WHERE kind = 't' AND len IS NOT NULL)
+            SELECT CAST(stage_no AS INTEGER) AS stage_no, stage_name, stage_type, CAST(ordinal AS BIGINT) AS ordinal, CAST(rule_pos AS INTEGER) AS rule_pos,
+              id, type, name AS "column", pattern, CAST(value AS BIGINT) AS value, vals AS "values", CAST(min_len AS INTEGER) AS min_len,
+              CAST(max_len AS INTEGER) AS max_len FROM r""",
         **(_llm.SQL if _llm else {}),
         **({"pipeline": _pipeline.ORACLE_SQL} if _pipeline and _pipeline.ORACLE_SQL else {}),
     }

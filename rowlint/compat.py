@@ -1,6 +1,6 @@
 """DataFrame-level functions with the signatures of the original rule API.
 
-Code written against ``check_not_null(df, column, rule_id)``-style calls
+The names and parameters here are fixed values.  Code written against ``check_not_null(df, column, rule_id)``-style calls
 keeps working: each call runs a one-rule pipeline whose verdict is appended
 to the incoming ``_dq_results`` map.  Chaining many of them copies the map
 once per rule; for more than a handful of rules, put them in one
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .operators import report
-from .plans.compile import RESULTS_COL, quote, status_of
+from .plans.compile import RESULTS_COL, append_results, quote, status_of
 from .plans.pipeline import Pipeline
 
 
@@ -74,8 +74,7 @@ def add_dq_result(df: DataFrame, rule_id: str, is_valid_col: Column) -> DataFram
     if RESULTS_COL not in df.columns:
         return df.withColumn(RESULTS_COL, entry)
     prev = F.coalesce(F.col(quote(RESULTS_COL)), F.create_map().cast("map<string,string>"))
-    kept = F.map_filter(prev, lambda k, v: k != F.lit(str(rule_id)))
-    return df.withColumn(RESULTS_COL, F.map_concat(kept, entry))
+    return df.withColumn(RESULTS_COL, append_results(prev, entry, [str(rule_id)]))
 
 
 def get_dq_summary(df: DataFrame) -> DataFrame:

@@ -9,6 +9,11 @@ status is taken (see ``plans.compile``).
 
 from __future__ import annotations
 
+import datetime
+import math
+import re
+import struct
+from decimal import Context, Decimal, InvalidOperation
 from typing import Any
 
 from pyspark.sql import Column
@@ -19,6 +24,9 @@ from pyspark.sql.types import (
     BooleanType,
     DataType,
     DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
     MapType,
     NullType,
     NumericType,
@@ -31,6 +39,9 @@ from pyspark.sql.types import (
 from .registry import DEFAULT_REGISTRY, Param, RuleDef, register_check
 
 
+_EXACT = Context(prec=400)
+
+
 class RuleTypeError(TypeError):
     """A rule cannot apply to a column of this type (raised at compile time)."""
 
@@ -67,6 +78,13 @@ def _bounds_given(params: dict[str, Any], lo: str, hi: str, rule: str) -> list[s
     return problems
 
 
+def _number(v) -> Column:
+    """A numeric literal; whole numbers beyond 64 bits as decimals."""
+    if isinstance(v, int) and not -(1 << 63) <= v < 1 << 63:
+        v = Decimal(v)
+    return F.lit(v)
+
+
 @register_check("check_not_null")
 def check_not_null(c: Column, dtype: DataType) -> Column:
     """PASS iff the value is not NULL; empty and blank strings pass."""
@@ -82,13 +100,13 @@ def check_regex(c: Column, dtype: DataType, pattern: str) -> Column:
 @register_check("check_min", params=[Param("value", "number")])
 def check_min(c: Column, dtype: DataType, value: float) -> Column:
     """PASS iff number(value) >= bound, inclusive."""
-    return _as_number(c, dtype, "check_min") >= F.lit(value)
+    return _as_number(c, dtype, "check_min") >= _number(value)
 
 
 @register_check("check_max", params=[Param("value", "number")])
 def check_max(c: Column, dtype: DataType, value: float) -> Column:
     """PASS iff number(value) <= bound, inclusive."""
-    return _as_number(c, dtype, "check_max") <= F.lit(value)
+    return _as_number(c, dtype, "check_max") <= _number(value)
 
 
 @register_check(
@@ -100,18 +118,18 @@ def check_range(c: Column, dtype: DataType, min: float | None = None, max: float
     """PASS iff min <= number(value) <= max; a missing bound is open."""
     x = _as_number(c, dtype, "check_range")
     if min is not None and max is not None:
-        return x.between(F.lit(min), F.lit(max))
+        return x.between(_number(min), _number(max))
     if min is not None:
-        return x >= F.lit(min)
-    return x <= F.lit(max)
+        return x >= _number(min)
+    return x <= _number(max)
 
 
 def _set_literals(values: list[Any], dtype: DataType) -> list[Column]:
     """Literals shaped to the column type, deduplicated, NULLs dropped.
 
     Text columns compare as text (a YAML ``False`` becomes ``'false'``, as a
-    Spark cast prints it).  Other columns take ``try_cast`` of each literal:
-    one that does not fit folds to NULL and can never match.
+    Spark cast prints it).  Other columns keep a literal only if their type can
+    hold it exactly (``_fitting``); one that does not fit can never match.
     """
     seen: set[tuple[str, Any]] = set()
     out = []
@@ -123,11 +141,60 @@ def _set_literals(values: list[Any], dtype: DataType) -> list[Column]:
         if key in seen:
             continue
         seen.add(key)
-        lit = F.lit(v)
-        out.append(lit.cast(target) if isinstance(target, StringType) else lit.try_cast(target))
+        if isinstance(target, StringType):
+            out.append(F.lit(v).cast(target))
+        elif (fit := _fitting(v, target)) is not None:
+            out.append(F.lit(fit).try_cast(target))
     return out
 
 
+_DATE = re.compile(r"\d{4}-\d{2}-\d{2}")
+_TIME = re.compile(r"\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}.*)?")
+
+
+def _fitting(v: Any, dtype: DataType) -> Any:
+    """``v`` if a column of ``dtype`` can hold exactly that value, else None.
+
+    Nothing is rounded, cut or completed: no 1.5 in an integer column, no third
+    decimal in a decimal(10,2), no bool as a number, no year as a date.
+    """
+    if isinstance(dtype, BooleanType):
+        word = {"true": True, "false": False}.get(v.strip().lower()) if isinstance(v, str) else v
+        return word if isinstance(word, bool) else None
+    if isinstance(dtype, NumericType):
+        if isinstance(v, bool) or not isinstance(v, (int, float, str, Decimal)):
+            return None
+        if isinstance(dtype, (FloatType, DoubleType)):
+            try:
+                x = float(v)
+                if isinstance(dtype, FloatType) and math.isfinite(x):
+                    x = struct.unpack("f", struct.pack("f", x))[0]
+                same = isinstance(v, str) or x == v or (x != x and v != v)
+            except (ValueError, OverflowError):
+                return None
+            if isinstance(v, str) and isinstance(dtype, FloatType) and x != float(v):
+                return None
+            return x if same else None
+        try:
+            exact = Decimal(repr(v) if isinstance(v, float) else v)
+        except InvalidOperation:
+            return None
+        if not exact.is_finite():
+            return None
+        if isinstance(dtype, DecimalType):
+            scaled = exact.scaleb(dtype.scale, _EXACT)
+            return exact if scaled == scaled.to_integral_value() and abs(scaled) < 10 ** dtype.precision else None
+        bits = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}[dtype.simpleString()]
+        return int(exact) if exact == exact.to_integral_value() and -(1 << bits - 1) <= exact < 1 << bits - 1 else None
+    if isinstance(dtype, DateType):
+        if isinstance(v, datetime.datetime):
+            return v.date() if v.time() == datetime.time() and v.tzinfo is None else None
+        return v if isinstance(v, datetime.date) or isinstance(v, str) and _DATE.fullmatch(v.strip()) else None
+    if isinstance(dtype, (TimestampType, TimestampNTZType)):
+        return v if isinstance(v, datetime.date) or isinstance(v, str) and _TIME.fullmatch(v.strip()) else None
+    return v
+
+
 @register_check("check_in_set", params=[Param("values", "list")])
 def check_in_set(c: Column, dtype: DataType, values: list[Any]) -> Column:
     """PASS iff the value equals a member of the list; case-sensitive.

@@ -77,6 +77,15 @@ class Registry:
     def copy(self) -> "Registry":
         return Registry(dict(self.checks), dict(self.cleansers))
 
+    def merged(self, other: "Registry") -> "Registry":
+        """Both registries' rule types; a name with two definitions is an error."""
+        out = self.copy()
+        for kind in ("dq", "cleanse"):
+            for name, rule in other.table(kind).items():
+                if out.table(kind).setdefault(name, rule) is not rule:
+                    raise ValueError(f"both registries define the {kind} rule type {name!r}, differently")
+        return out
+
     def table(self, kind: str) -> dict[str, RuleDef]:
         if kind == "dq":
             return self.checks

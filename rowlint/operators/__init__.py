@@ -1,6 +1,6 @@
 """Operators over whole tables: reports from result maps, suite derivation."""
 
 from . import report
-from .suite import derive_rules, suite_pipeline
+from .suite import derive_rules, profile_columns, suite_pipeline
 
-__all__ = ["derive_rules", "report", "suite_pipeline"]
+__all__ = ["derive_rules", "profile_columns", "report", "suite_pipeline"]

@@ -3,8 +3,10 @@
 Metadata in (one row per column, catalog / information-schema shaped):
 
     column string, type string, nullable boolean, length int,
-    constraints struct<regex string, min double, max double, enum array<string>>
-    [, table string] [, ordinal long]
+    ordinal long, constraints struct<regex string, min T, max T, enum array<string>>
+    [, table string]
+
+``T`` is any numeric type: bounds keep it (a long stays exact).
 
 Rule table out (one row per derived rule), in three stages:
 
@@ -22,9 +24,11 @@ into a runnable pipeline.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, DoubleType, IntegralType, NumericType, StringType, StructType
 
 from ..plans.pipeline import Pipeline
 
@@ -44,17 +48,66 @@ def _constraint(meta: DataFrame, name: str) -> Column:
     return F.lit(None)
 
 
+def _bound_type(meta: DataFrame) -> DataType:
+    """The numeric type of the bounds; double where both differ or none is given."""
+    t = meta.schema["constraints"].dataType if "constraints" in meta.columns else None
+    kinds = [t[n].dataType for n in ("min", "max") if isinstance(t, StructType) and n in t.fieldNames()]
+    return kinds[0] if kinds and all(k == kinds[0] and isinstance(k, NumericType) for k in kinds) else DoubleType()
+
+
+def profile_columns(df: DataFrame, patterns: Mapping[str, str] | None = None, enums: Mapping[str, list[str]] | None = None,
+                    table: str | None = None) -> DataFrame:
+    """Column metadata, the input of ``derive_rules``, measured on a table.
+
+    One pass over ``df`` with plain aggregates: a column is nullable if it holds
+    a NULL; text columns get the length of their longest value and integer
+    columns their smallest and largest value.  ``patterns`` and ``enums`` add
+    constraints by column.  An empty table gives its columns without bounds.
+    """
+    aggs, kinds = [F.count(F.lit(1)).alias("n")], {}
+    for i, f in enumerate(df.schema.fields):
+        c = F.col("`" + f.name.replace("`", "``") + "`")
+        aggs.append(F.count(c).alias(f"c{i}"))
+        if isinstance(f.dataType, StringType):
+            kinds[i] = "VARCHAR"
+            aggs.append(F.max(F.length(c)).alias(f"l{i}"))
+        elif isinstance(f.dataType, IntegralType):
+            kinds[i] = "BIGINT"
+            aggs += [F.min(c).cast("long").alias(f"a{i}"), F.max(c).cast("long").alias(f"b{i}")]
+        else:
+            kinds[i] = f.dataType.simpleString().upper()
+
+    def null(kind: str) -> Column:
+        return F.lit(None).cast(kind)
+
+    rows = []
+    for i, f in enumerate(df.schema.fields):
+        enum = (enums or {}).get(f.name)
+        rows.append(F.struct(
+            F.lit(i).cast("long").alias("ordinal"), F.lit(f.name).alias("column"), F.lit(kinds[i]).alias("type"),
+            (F.col(f"c{i}") < F.col("n")).alias("nullable"),
+            (F.col(f"l{i}").cast("int") if kinds[i] == "VARCHAR" else null("int")).alias("length"),
+            F.struct(
+                F.lit((patterns or {}).get(f.name)).cast("string").alias("regex"),
+                (F.col(f"a{i}") if kinds[i] == "BIGINT" else null("long")).alias("min"),
+                (F.col(f"b{i}") if kinds[i] == "BIGINT" else null("long")).alias("max"),
+                (F.array(*[F.lit(x) for x in enum]) if enum else null("array<string>")).alias("enum"),
+            ).alias("constraints")))
+    out = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    return out.withColumn("table", F.lit(table)) if table is not None else out
+
+
 def derive_rules(meta: DataFrame) -> DataFrame:
     """Metadata table -> rule table (see module doc).  Runs distributed: each
     metadata row yields its candidate rules via one ``inline``; no driver loop."""
     if "ordinal" not in meta.columns:
-        # metadata without positions: keep the order rows are read in
-        meta = meta.withColumn("ordinal", F.monotonically_increasing_id())
+        raise ValueError("the metadata needs an 'ordinal' column: rows of a table have no order of their own")
     name, typ = F.col("column"), F.col("type")
     length = F.col("length") if "length" in meta.columns else F.lit(None).cast("int")
     regex = _constraint(meta, "regex").cast("string")
-    lo = _constraint(meta, "min").cast("double")
-    hi = _constraint(meta, "max").cast("double")
+    bound = _bound_type(meta)
+    lo = _constraint(meta, "min").cast(bound)
+    hi = _constraint(meta, "max").cast(bound)
     enum = _constraint(meta, "enum").cast("array<string>")
     is_text = typ.isin(*TEXT_TYPES)
     lower_name = F.lit(False)
@@ -69,7 +122,7 @@ def derive_rules(meta: DataFrame) -> DataFrame:
             "id": rid if rid is not None else F.lit(None).cast("string"),
             "type": F.lit(rtype),
             "pattern": p.get("pattern", F.lit(None).cast("string")),
-            "value": p.get("value", F.lit(None).cast("double")),
+            "value": p.get("value", F.lit(None).cast(bound)),
             "values": p.get("values", F.lit(None).cast("array<string>")),
             "min_len": p.get("min_len", F.lit(None).cast("int")),
             "max_len": p.get("max_len", F.lit(None).cast("int")),

@@ -25,6 +25,7 @@ from functools import reduce
 from operator import add
 from typing import Iterable, Mapping, Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
@@ -35,7 +36,9 @@ from .spec import PipelineSpec, SpecError, SpecWarning
 
 RESULTS_COL = "_dq_results"
 PASS, FAIL = "PASS", "FAIL"
-WIDE_SUITE = 32  # above this many rules the result map is built from arrays
+MAP_FORMS = ("entries", "arrays")
+ON_RECHECK = ("replace", "error")
+NULL_SALTS = 64
 
 
 def quote(name: str) -> str:
@@ -51,6 +54,12 @@ def status_of(flag: Column) -> Column:
     return F.when(flag, F.lit(PASS)).otherwise(F.lit(FAIL))
 
 
+def append_results(prev: Column, new: Column, replaced: Sequence[str]) -> Column:
+    """``new`` verdicts after those of ``prev``, which loses the ``replaced`` ids."""
+    kept = F.map_filter(prev, lambda k, v: ~k.isin(list(replaced))) if replaced else prev
+    return F.map_concat(kept, new)
+
+
 def _find(struct: StructType, name: str, case_sensitive: bool):
     for f in struct.fields:
         if f.name == name:
@@ -89,19 +98,22 @@ _VALID_PATTERNS: set[str] = set()  # patterns Spark already compiled in this pro
 def invalid_patterns(spark, pats: Sequence[tuple[str, str]]) -> list[str]:
     """``(rule id, pattern)`` pairs Spark's regex engine rejects, as problems.
 
-    Tried on a one-row local relation (the optimizer folds it on the driver;
-    no data is read), once per distinct pattern per process, so a bad pattern
-    fails the plan instead of a task hours into a large job."""
+    Tried on an inline table (a local relation: no Spark job runs), once per
+    distinct pattern per process, so a bad pattern fails the plan instead of a
+    task hours into a large job.  Only Spark's own complaint about a pattern
+    counts; any other error is raised."""
     todo = [(rid, p) for rid, p in pats if p not in _VALID_PATTERNS]
     if not todo:
         return []
-    probe = spark.createDataFrame([("",)], "s string")
 
     def fails(ps) -> bool:
+        tries = ", ".join(f"s RLIKE :p{i} AS p{i}" for i in range(len(ps)))
         try:
-            probe.select(*[F.col("s").rlike(p).alias(f"p{i}") for i, (_, p) in enumerate(ps)]).collect()
+            spark.sql(f"SELECT {tries} FROM VALUES ('') AS t(s)", args={f"p{i}": p for i, (_, p) in enumerate(ps)}).collect()
             return False
-        except Exception:
+        except PySparkException as e:
+            if not (e.getCondition() or "").startswith("INVALID_PARAMETER_VALUE.PATTERN"):
+                raise
             return True
 
     if not fails(todo):
@@ -131,7 +143,16 @@ class CompiledRule:
 
 
 class CompiledPipeline:
-    """A spec bound to one input DataFrame.  Every method is lazy."""
+    """A spec bound to one input DataFrame.  Every method is lazy, and binding
+    runs no Spark job.
+
+    ``map_form`` says how the result map is built, whatever the number of
+    rules: ``"entries"`` (one entry per rule; a report that reads one verdict
+    reads only that rule's columns) or ``"arrays"`` (a constant key array and a
+    lambda over the flags: less generated code for suites of hundreds of rules).
+    ``on_recheck`` says what happens to an incoming verdict of an id that this
+    pipeline checks again: ``"replace"`` it, or ``"error"`` when the rows are read.
+    """
 
     def __init__(
         self,
@@ -140,7 +161,12 @@ class CompiledPipeline:
         registry: Registry | None = None,
         results_col: str = RESULTS_COL,
         tables: Mapping[str, DataFrame] | None = None,
+        map_form: str = "entries",
+        on_recheck: str = "replace",
     ):
+        if map_form not in MAP_FORMS or on_recheck not in ON_RECHECK:
+            raise ValueError(f"map_form must be one of {MAP_FORMS}, on_recheck one of {ON_RECHECK}")
+        self.map_form, self.on_recheck = map_form, on_recheck
         self.spec = spec
         self.tables = dict(tables or {})
         self.registry = registry or DEFAULT_REGISTRY
@@ -181,7 +207,7 @@ class CompiledPipeline:
                 for rule in stage.rules:
                     try:
                         path, dtype = self._target(schema, rule.column)
-                        rdef = self.registry.lookup("dq", rule.type)
+                        rdef = self._rule_def("dq", rule.type)
                         if rdef.joins:
                             df, pred = self._join_keys(df, rule, path, dtype, taken)
                         else:
@@ -219,15 +245,26 @@ class CompiledPipeline:
             warnings.warn(n, SpecWarning, stacklevel=3)
         return df
 
+    def _rule_def(self, kind: str, name: str):
+        rdef = self.registry.lookup(kind, name)
+        if rdef is None:
+            raise SpecError([f"no {kind} rule type {name!r} in this pipeline's registry"])
+        return rdef
+
     def _join_keys(self, df: DataFrame, rule, path, dtype, taken: set[str]) -> tuple[DataFrame, Column]:
         """Left-join the distinct reference keys; a hit is a PASS.
 
         The reference side is reduced to its distinct keys (cast to the
-        checked column's type; keys that do not fit are dropped), so each row
-        matches at most once and the row count never changes.  No broadcast
-        hint: Spark broadcasts only when the (estimated, and with AQE the
-        measured) size of the distinct keys is under its threshold, and
-        otherwise plans a sort-merge join whose skewed partitions AQE splits.
+        checked column's type; a key that does not come back equal from that
+        type cannot be met and is dropped), so each row matches at most once
+        and the row count never changes.  No broadcast hint: Spark broadcasts
+        only when the size of the distinct keys is under its threshold, and
+        otherwise plans a sort-merge join.
+
+        The join has a second key: 0 for every reference key, and for rows 0 or,
+        where the value is NULL, a salt of the row.  So NULLs spread over the
+        tasks, and the reference side is exchanged after its aggregate, which
+        leaves AQE a plain exchange on both sides and lets it split a hot key.
         """
         p = rule.kwargs()
         name = p["table"]
@@ -237,19 +274,24 @@ class CompiledPipeline:
                 ref = df.sparkSession.table(name)
             except Exception as e:
                 raise SpecError([f"rule {rule.id}: no table {name!r} (pass tables={{...}} to compile)"]) from e
-        kpath, _ = resolve(ref.schema, p.get("key") or rule.column, self.case_sensitive)
+        kpath, ktype = resolve(ref.schema, p.get("key") or rule.column, self.case_sensitive)
         n = len(self.rules)
-        kname, hname = f"__ref_key_{n}", f"__ref_hit_{n}"
-        while kname in taken or hname in taken:
-            kname, hname = "_" + kname, "_" + hname
-        taken.update((kname, hname))
+        kname, hname, sname, rname = f"__ref_key_{n}", f"__ref_hit_{n}", f"__ref_salt_{n}", f"__row_salt_{n}"
+        while taken & {kname, hname, sname, rname}:
+            kname, hname, sname, rname = ("_" + x for x in (kname, hname, sname, rname))
+        taken.update((kname, hname, sname, rname))
+        raw = column_at(kpath)
         keys = (
-            ref.select(column_at(kpath).try_cast(dtype).alias(kname))
-            .where(F.col(kname).isNotNull())
-            .distinct()
-            .withColumn(hname, F.lit(True))
+            ref.select(raw.try_cast(dtype).alias(kname), raw.alias("__raw"))
+            .where(F.col(kname).isNotNull() & (F.col(kname).try_cast(ktype) == F.col("__raw")))
+            .groupBy(kname).agg(F.max(F.lit(0)).alias(sname), F.max(F.lit(True)).alias(hname))
         )
-        joined = df.join(keys, column_at(path) == F.col(kname), "left")
+        value = column_at(path)
+        others = [F.col(quote(f.name)) for f in df.schema.fields if f.name != path[0] and "map<" not in f.dataType.simpleString()
+                  and "variant" not in f.dataType.simpleString()]
+        salt = F.pmod(F.xxhash64(*others), F.lit(NULL_SALTS)).cast("int") + 1 if others else F.lit(0)
+        rows = df.withColumn(rname, F.when(value.isNull(), salt).otherwise(F.lit(0)))
+        joined = rows.join(keys, (value == F.col(kname)) & (F.col(rname) == F.col(sname)), "left").drop(rname, sname, kname)
         return joined, F.col(hname)
 
     def _target(self, schema: StructType, name: str) -> tuple[list[str], DataType]:
@@ -267,7 +309,7 @@ class CompiledPipeline:
                 path, dtype = self._target(schema, rule.column)
                 key = tuple(path)
                 expr, cur = chains.get(key, (column_at(path), dtype))
-                rdef = self.registry.lookup("cleanse", rule.type)
+                rdef = self._rule_def("cleanse", rule.type)
                 expr = rdef.build(expr, cur, **rule.kwargs())
                 out_type = rdef.result_type or cur
                 if out_type != dtype and cur == dtype:
@@ -298,7 +340,8 @@ class CompiledPipeline:
 
     @property
     def staged(self) -> DataFrame:
-        """Input columns (cleansed) plus one hidden boolean per rule."""
+        """Input columns (cleansed) plus hidden columns: one boolean per rule, and
+        the hit of each ``check_in_table`` rule."""
         return self._staged
 
     def _outputs(self) -> list[Column]:
@@ -306,17 +349,13 @@ class CompiledPipeline:
 
     def results_map(self) -> Column:
         """Rule id to PASS/FAIL, in rule order; an incoming map comes first,
-        without the ids this pipeline re-checks (a re-run id takes the new verdict)."""
-        if len(self.rules) <= WIDE_SUITE:
+        without the ids this pipeline checks again (see ``on_recheck``)."""
+        if self.map_form == "entries":
             pairs: list[Column] = []
             for r in self.rules:
                 pairs += [F.lit(r.id), r.status]
             new = F.create_map(*pairs)
         else:
-            # wide suites: one constant key array and a lambda over the flags
-            # keep the generated code small; one CASE per rule inlined into a
-            # single create_map grows past what the JIT compiles (3x slower at
-            # 100 rules, measured)
             keys = F.array(*[F.lit(r.id) for r in self.rules])
             flags = F.array(*[F.col(r.flag) for r in self.rules])
             new = F.map_from_arrays(keys, F.transform(flags, status_of))
@@ -326,8 +365,7 @@ class CompiledPipeline:
         if not self.rules:
             return prev
         ids = self.rule_ids
-        kept = F.map_filter(prev, lambda k, v: ~k.isin(ids))
-        return F.map_concat(kept, new)
+        return append_results(prev, new, ids if self.on_recheck == "replace" else [])
 
     def _annotated_cols(self) -> list[Column]:
         if not self.rules and not self.incoming:
@@ -356,21 +394,14 @@ class CompiledPipeline:
         return self._staged.select(*[F.col(quote(k)) for k in key_cols], *[r.status.alias(n) for r, n in zip(self.rules, names)])
 
     def exploded(self, keys: Iterable[str] = ()) -> DataFrame:
-        """One row per (row, rule): ``keys, rule_id, status``."""
+        """One row per (row, rule of this pipeline): ``keys, rule_id, status``.
+
+        Like ``flat`` and ``summary`` it leaves verdicts of an incoming map out;
+        ``report.exploded(run.annotated())`` lists those too."""
         keys = [F.col(quote(k)) for k in keys]
-        if self.incoming:
-            return self.annotated().select(*keys, F.explode(F.col(quote(self.results_col))).alias("rule_id", "status"))
         if not self.rules:
             none = F.lit(None).cast("string")
             return self._staged.select(*keys, none.alias("rule_id"), none.alias("status")).where(F.lit(False))
-        if len(self.rules) > WIDE_SUITE:
-            # small generated code for wide suites: explode the flag array by
-            # position and look the id up in one constant array
-            ids = F.array(*[F.lit(r.id) for r in self.rules])
-            flags = F.array(*[F.col(r.flag) for r in self.rules])
-            pos = self._staged.select(*keys, F.posexplode(flags).alias("__pos", "__ok"))
-            return pos.select(*keys, F.element_at(ids, F.col("__pos") + 1).alias("rule_id"),
-                              status_of(F.col("__ok")).alias("status"))
         entries = F.array(*[F.struct(F.lit(r.id).alias("rule_id"), r.status.alias("status")) for r in self.rules])
         return self._staged.select(*keys, F.inline(entries))
 
@@ -404,8 +435,6 @@ class CompiledPipeline:
         """Number of rules this row failed (0 for a clean row)."""
         if not self.rules:
             return F.lit(0)
-        if len(self.rules) > WIDE_SUITE:
-            return F.size(F.filter(F.array(*[F.col(r.flag) for r in self.rules]), lambda ok: ~ok))
         return reduce(add, [F.when(F.col(r.flag), 0).otherwise(1) for r in self.rules])
 
     def with_failed_count(self, name: str = "_dq_failed") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.registry import DEFAULT_REGISTRY, Registry
 from .compile import RESULTS_COL, CompiledPipeline, invalid_patterns
-from .spec import PipelineSpec
+from .spec import PipelineSpec, SpecError
 
 
 class Pipeline:
@@ -62,17 +62,23 @@ class Pipeline:
         """A spec from a rule table (``operators.suite``), one row per rule.
 
         The rule table is spec-sized (rules, not data), so it is ordered and
-        brought to the driver once, like any configuration."""
+        brought to the driver once, like any configuration.  A table of several
+        tables' rules (a ``table`` column) is refused: filter it first."""
+        if "table" in rules.columns:
+            tables = [r["table"] for r in rules.select("table").distinct().limit(2).collect()]
+            if len(tables) > 1:
+                raise SpecError([f"the rule table holds several tables' rules ({sorted(map(str, tables))} ...): filter it by table"])
         order = [c for c in ("stage_no", "ordinal", "rule_pos") if c in rules.columns]
         rows = [r.asDict(recursive=True) for r in rules.collect()]
         rows.sort(key=lambda r: tuple(r[c] for c in order))  # rules, not data: no distributed sort
         reg = kw.get("registry")
         return cls(PipelineSpec.from_rule_rows(rows, reg, kw.pop("on_unknown", "warn")), **kw)
 
-    def compile(self, df: DataFrame, tables: Mapping[str, DataFrame] | None = None) -> CompiledPipeline:
+    def compile(self, df: DataFrame, tables: Mapping[str, DataFrame] | None = None, *, map_form: str = "entries",
+                on_recheck: str = "replace") -> CompiledPipeline:
         """Bind to ``df``; ``tables`` names the reference tables of
         ``check_in_table`` rules (otherwise looked up in the catalog)."""
-        return CompiledPipeline(self.spec, df, self.registry, self.results_col, tables)
+        return CompiledPipeline(self.spec, df, self.registry, self.results_col, tables, map_form, on_recheck)
 
     def run(self, df: DataFrame, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
         """Stages in order; returns the annotated DataFrame (lazy, no action)."""
@@ -81,11 +87,14 @@ class Pipeline:
     __call__ = run  # df.transform(pipeline)
 
     def then(self, other: "Pipeline") -> "Pipeline":
-        return Pipeline(self.spec.then(other.spec), registry=self.registry, results_col=self.results_col)
+        """The stages of both; each keeps its own rule types (names that both
+        registries define differently are refused)."""
+        registry = self.registry if self.registry is other.registry else self.registry.merged(other.registry)
+        return Pipeline(self.spec.then(other.spec), registry=registry, results_col=self.results_col)
 
     def check_patterns(self, spark) -> list[str]:
         """Problems with the regex patterns, found by Spark's own (Java) regex
-        engine on a one-row local relation: no data is read."""
+        engine on an inline table: no Spark job runs."""
         pats = [(r.id, r.kwargs()["pattern"]) for s in self.spec.stages if s.type == "dq"
                 for r in s.rules if r.type == "check_regex"]
         return invalid_patterns(spark, pats)

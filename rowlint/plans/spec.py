@@ -14,6 +14,7 @@ import datetime as _dt
 import math
 import os
 import warnings
+from decimal import Decimal
 from dataclasses import dataclass
 from typing import Any, Iterable, Mapping
 
@@ -105,9 +106,9 @@ class PipelineSpec:
         """Read a YAML spec from a local path, or through Spark from any
         Hadoop file system (``s3a://``, ``hdfs://``...) when ``spark`` is given."""
         if spark is not None and not os.path.exists(path):
-            rows = spark.read.text(path, wholetext=True).collect()  # one small file
-            if not rows:
-                raise SpecError([f"no spec found at {path}"])
+            rows = spark.read.text(path, wholetext=True).limit(2).collect()  # one small file
+            if len(rows) != 1:
+                raise SpecError([f"{'no spec' if not rows else 'more than one file'} found at {path}: a spec is one file"])
             return cls.from_yaml(rows[0][0], registry, on_unknown)
         with open(path, encoding="utf-8") as f:
             return cls.from_yaml(f.read(), registry, on_unknown)
@@ -322,11 +323,15 @@ def _coerce(kind: str, v: Any) -> tuple[Any, str | None]:
             v = float(v) if any(ch in v.lower() for ch in ".en") else int(v)
         except ValueError:
             return v, f"must be a number, got {v!r}"
-    if not isinstance(v, (int, float)):
+    if isinstance(v, Decimal):
+        v = int(v) if v == v.to_integral_value() else v
+    if not isinstance(v, (int, float, Decimal)):
         return v, f"must be a number, got {v!r}"
+    if isinstance(v, int) and abs(v) >= 10 ** 38:
+        return v, "must be below 10^38"
     if kind == "int":
-        if isinstance(v, float):
-            if not v.is_integer():
+        if isinstance(v, (float, Decimal)):
+            if v != v or v in (math.inf, -math.inf) or v != int(v):
                 return v, f"must be a whole number, got {v!r}"
             v = int(v)
         return v, None

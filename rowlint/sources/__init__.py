@@ -13,6 +13,7 @@ from typing import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.report import flat
 from ..plans.compile import CompiledPipeline
 from .dirty import dirty_customers
 
@@ -27,26 +28,16 @@ def read_table(spark: SparkSession, path: str, format: str = "parquet", **option
     return spark.read.format(format).options(**options).load(path)
 
 
-def spread(df: DataFrame, keys: Iterable[str] = (), parallelism: int | None = None) -> DataFrame:
-    """Spread rows over the cluster when the scan under-fills it.
+def spread(df: DataFrame, parallelism: int, keys: Iterable[str] = ()) -> DataFrame:
+    """Rows dealt to ``parallelism`` partitions by one exchange: round-robin
+    (even, whatever the keys) or hashed on ``keys`` (give unique keys).
 
-    A Parquet row group is read by one task, so a file written as one row
-    group (or an unsplittable file) runs every row-local check in a single
-    task.  When the scan has fewer partitions than the session's default
-    parallelism, this adds one exchange to that many partitions: round-robin
-    (even whatever the key distribution; a hot key cannot skew it) or hashed
-    on ``keys`` (give unique keys).  A large input already has more splits
-    than cores, so at scale this is the identity and adds no shuffle.
+    A Parquet row group is read by one task, so a file of one row group runs
+    row-local checks in a single task.  Whether an exchange of the whole table
+    is worth that is the caller's decision; nothing in the library calls this.
     """
-    try:
-        target = parallelism or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. Spark Connect): leave as read
-        return df
-    if have >= target:
-        return df
     keys = list(keys)
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+    return df.repartition(parallelism, *keys) if keys else df.repartition(parallelism)
 
 
 def write_annotated(run: CompiledPipeline, path: str, format: str = "parquet", mode: str = "overwrite",
@@ -68,11 +59,22 @@ def write_split(run: CompiledPipeline, path: str, format: str = "parquet", mode:
 
 def write_reports(run: CompiledPipeline, path: str, keys: Iterable[str], format: str = "parquet",
                   mode: str = "overwrite") -> None:
-    """``annotated/``, ``flat/`` and ``summary/`` tables under ``path``."""
+    """``annotated/``, ``flat/`` and ``summary/`` tables under ``path``.
+
+    The input is read and checked once: the summary is counted while the
+    annotated rows are written, and ``flat`` is a projection of the written
+    table (only its keys and the result map are read back)."""
     keys = list(keys)
-    run.annotated().write.format(format).mode(mode).save(f"{path}/annotated")
-    run.flat(keys).write.format(format).mode(mode).save(f"{path}/flat")
-    run.summary().coalesce(1).write.format(format).mode(mode).save(f"{path}/summary")
+    spark = run.staged.sparkSession
+    rows, counts = run.observed()
+    rows.write.format(format).mode(mode).save(f"{path}/annotated")
+    got = counts.get
+    n = got["_rows"]
+    per_rule = [(r.id, got[r.id], n - got[r.id], n, got[r.id] / n if n else None) for r in run.rules]
+    summary = spark.createDataFrame(per_rule, "rule_id string, n_pass long, n_fail long, n_rows long, pass_rate double")
+    summary.coalesce(1).write.format(format).mode(mode).save(f"{path}/summary")
+    back = spark.read.format(format).schema(rows.schema).load(f"{path}/annotated")
+    flat(back, keys, run.rule_ids, run.results_col).write.format(format).mode(mode).save(f"{path}/flat")
 
 
 __all__ = ["dirty_customers", "read_csv", "read_table", "spread", "write_annotated", "write_reports", "write_split"]

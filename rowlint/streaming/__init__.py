@@ -1,5 +1,5 @@
 """Streaming runs of the same compiled checks, and windowed verdict counts."""
 
-from .quality import annotate_stream, quality_by_window, stream_checkpoint, write_annotated_stream
+from .quality import annotate_stream, quality_by_window, rows_without_time, stream_checkpoint, write_annotated_stream
 
-__all__ = ["annotate_stream", "quality_by_window", "stream_checkpoint", "write_annotated_stream"]
+__all__ = ["annotate_stream", "quality_by_window", "rows_without_time", "stream_checkpoint", "write_annotated_stream"]

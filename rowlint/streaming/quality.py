@@ -36,8 +36,18 @@ def quality_by_window(
 
     With ``watermark`` on a ``timestamp_ntz`` column, the event time is read
     in the session time zone (pin UTC for wall-clock windows); the window
-    bounds come back as ``timestamp_ntz``."""
+    bounds come back as ``timestamp_ntz``.
+
+    No row is dropped from a batch: rows whose event time is NULL are counted
+    under a NULL window.  A stream cannot place them in any window; read them
+    with :func:`rows_without_time` beside this one."""
     staged = run.staged
+    if not run.rules:
+        kind = "timestamp_ntz" if isinstance(staged.schema[time_col].dataType, TimestampNTZType) else "timestamp"
+        none = F.lit(None).cast(kind)
+        zero = F.lit(0).cast("long")
+        return staged.where(F.lit(False)).select(none.alias("window_start"), none.alias("window_end"), F.lit("").alias("rule_id"),
+                                                 zero.alias("n_pass"), zero.alias("n_fail"), zero.alias("n_rows"))
     ts = F.col(quote(time_col))
     ntz = isinstance(staged.schema[time_col].dataType, TimestampNTZType)
     if watermark is not None:
@@ -52,6 +62,10 @@ def quality_by_window(
     aggs = [F.count_if(F.col(r.flag)).alias(f"p{i}") for i, r in enumerate(run.rules)]
     per_window = staged.groupBy(w.alias("w")).agg(*aggs, F.count(F.lit(1)).alias("n"))
     entries = F.array(*[F.struct(F.lit(r.id).alias("rule_id"), F.col(f"p{i}").alias("n_pass")) for i, r in enumerate(run.rules)])
+    if not staged.isStreaming:
+        empty = F.lit(None).cast(per_window.schema["w"].dataType)
+        untimed = run.staged.where(F.col(quote(time_col)).isNull()).agg(*aggs, F.count(F.lit(1)).alias("n"))
+        per_window = per_window.unionByName(untimed.where("n > 0").select(empty.alias("w"), "*"))
     start, end = F.col("w.start"), F.col("w.end")
     if ntz and watermark is not None:
         start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
@@ -65,16 +79,18 @@ def quality_by_window(
     )
 
 
+def rows_without_time(run: CompiledPipeline, time_col: str) -> DataFrame:
+    """The annotated rows whose event time is NULL: the side output of
+    ``quality_by_window`` on a stream."""
+    return run.annotated().where(F.col(quote(time_col)).isNull())
+
+
 def stream_checkpoint(spark, name: str) -> str:
     """Checkpoint folder for a streaming query, under the shared folder the
     session names (``spark.checkpoint.dir``), so a restarted query or a lost
-    executor resumes from the same state.  Refuses to guess a local path."""
+    executor resumes from the same state.  Raises where the session names none:
+    the context's own checkpoint folder is a new one in every application."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        try:
-            base = spark.sparkContext.getCheckpointDir()
-        except Exception:  # no SparkContext access (e.g. Spark Connect)
-            base = None
     if not base:
         raise ValueError("no spark.checkpoint.dir in this session: set it to a shared folder "
                          "or pass a checkpoint location yourself")

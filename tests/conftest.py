@@ -16,19 +16,18 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    s = (
+    builder = (
         SparkSession.builder.master("local[*]")
         .appName("rowlint-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
+        # tests own their session and name its shared folder
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="rowlint-shared-"))
     )
+    s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    # tests own their session: set a checkpoint folder only where none is named
-    if not s.sparkContext.getCheckpointDir():
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rowlint-ckpt-"))
     yield s
 
 

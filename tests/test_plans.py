@@ -81,19 +81,44 @@ def test_wide_suite_map_equals_narrow_form(spark):
     p = Pipeline({"stages": [{"name": "s", "type": "dq", "rules": rules}]})
     df = spark.read.parquet(f"{SF01}/customer.parquet")
 
-    def outputs():
-        run = p.compile(df)
+    def outputs(form):
+        run = p.compile(df, map_form=form)
         return (
             sorted(run.annotated().select("c_custkey", F.map_entries("_dq_results").alias("e")).collect()),
             sorted(run.exploded(["c_custkey"]).collect()),
             sorted(run.with_failed_count().select("c_custkey", "_dq_failed").collect()),
         )
 
-    wide = outputs()
-    old = C.WIDE_SUITE
-    C.WIDE_SUITE = 1000
+    assert outputs("arrays") == outputs("entries")
+    assert "map_from_arrays" not in plan(p.run(df), "simple")
+
+
+def test_many_rules_read_only_the_columns_of_one_verdict(spark):
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    rules = [{"id": f"r{i}", "type": "check_min", "column": cols[i % 4], "value": i} for i in range(40)]
+    p = Pipeline({"stages": [{"name": "s", "type": "dq", "rules": rules}]})
+    one = p.run(spark.read.parquet(f"{SF01}/lineitem.parquet")).select("l_orderkey", F.col("_dq_results")["r5"].alias("r5"))
+    schema = [x for x in plan(one, "simple").splitlines() if "ReadSchema" in x][0]
+    assert "l_extendedprice" in schema and not any(c in schema for c in ("l_quantity", "l_discount", "l_tax"))
+
+
+def test_row_local_queries_add_no_exchange(spark):
+    import __spark_entry__ as E
+
+    for name in ("lineitem_checks", "events_checks", "documents_checks", "pages_checks", "orders_checks", "conversations_checks", "lineitem_sets"):
+        assert "Exchange" not in plan(E.queries()[name](spark, SF01), "simple"), name
+
+
+def test_compiling_runs_no_job(spark):
+    sc = spark.sparkContext
+    rules = [{"id": "a", "type": "check_regex", "column": "c_name", "pattern": "^C[u]s"}, {"id": "b", "type": "check_regex", "column": "c_name", "pattern": "x{2}"}]
+    df = spark.read.parquet(f"{SF01}/customer.parquet")
+    from rowlint.plans import compile as C
+
+    C._VALID_PATTERNS.clear()
+    sc.setJobGroup("compile-only", "compile")
     try:
-        assert outputs() == wide
+        Pipeline({"stages": [{"name": "s", "type": "dq", "rules": rules}]}).compile(df)
+        assert list(sc.statusTracker().getJobIdsForGroup("compile-only")) == []
     finally:
-        C.WIDE_SUITE = old
-    assert "map_from_arrays" in plan(p.run(df), "simple")
+        sc.setLocalProperty("spark.jobGroup.id", None)

@@ -89,13 +89,62 @@ def test_write_reports(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "rep/summary")).count() == 3
 
 
-def test_spread_only_when_under_split(spark):
+def test_spread_is_the_callers_choice(spark):
     df = spark.read.parquet(f"{SF001}/events.parquet")
-    target = spark.sparkContext.defaultParallelism
-    s = spread(df, ["event_id"])
-    assert s.rdd.getNumPartitions() == max(target, df.rdd.getNumPartitions())
-    many = df.repartition(target + 3)
-    assert spread(many) is many
+    assert spread(df, 5, ["event_id"]).rdd.getNumPartitions() == 5
+    assert spread(df, 3).rdd.getNumPartitions() == 3
+
+
+def test_reports_read_the_input_once(spark, tmp_path):
+    df = spark.read.parquet(f"{SF001}/events.parquet")
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    run = Pipeline(EVENTS).compile(df.mapInArrow(seen, df.schema))
+    write_reports(run, str(tmp_path / "rep"), ["event_id"])
+    assert reads.value == 1000
+    want = Pipeline(EVENTS).compile(df)
+    for name, frame in (("annotated", want.annotated()), ("flat", want.flat(["event_id"])), ("summary", want.summary())):
+        got = spark.read.parquet(str(tmp_path / "rep" / name))
+        assert sorted(map(str, got.collect())) == sorted(map(str, frame.collect())), name
+
+
+def test_restarted_stream_repeats_no_row(spark, tmp_path):
+    import uuid
+
+    import pytest
+
+    from rowlint.streaming import stream_checkpoint, write_annotated_stream
+
+    class Unset:  # a session without the setting
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError):
+        stream_checkpoint(Unset, "x")
+    src = events_dir(tmp_path)
+    schema = spark.read.parquet(src).schema
+    name = f"restart_{uuid.uuid4().hex}"
+    for _ in range(2):
+        write_annotated_stream(Pipeline(EVENTS), spark.readStream.schema(schema).parquet(src), str(tmp_path / "out"), name,
+                               available_now=True).awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1000
+
+
+def test_untimed_rows_are_counted(spark):
+    from rowlint.streaming import quality_by_window, rows_without_time
+
+    df = spark.createDataFrame([(1, None), (2, "2024-01-01 10:00:00"), (None, None)], "v int, t string").selectExpr("v", "cast(t as timestamp) t")
+    run = Pipeline({"stages": [{"name": "s", "type": "dq", "rules": [{"id": "r", "type": "check_not_null", "column": "v"}]}]}).compile(df)
+    got = {(r.window_start is None, r.n_pass, r.n_fail, r.n_rows) for r in quality_by_window(run, "t", "1 day").collect()}
+    assert got == {(True, 1, 1, 2), (False, 1, 0, 1)}
+    assert rows_without_time(run, "t").count() == 2
+    empty = Pipeline({"stages": []}).compile(df)
+    assert quality_by_window(empty, "t", "1 day").collect() == []
 
 
 def test_command_line_job(spark, tmp_path):
@@ -144,6 +193,6 @@ def test_write_annotated_partitioned_and_rule_ids(spark, tmp_path):
 
 def test_spread_round_robin_keeps_every_row(spark):
     df = spark.read.parquet(f"{SF001}/events.parquet")
-    s = spread(df, parallelism=df.rdd.getNumPartitions() + 4)
+    s = spread(df, df.rdd.getNumPartitions() + 4)
     assert s.rdd.getNumPartitions() == df.rdd.getNumPartitions() + 4
     assert sorted(r.event_id for r in s.select("event_id").collect()) == sorted(r.event_id for r in df.select("event_id").collect())

@@ -64,3 +64,33 @@ def test_name_heuristic_is_case_sensitive_and_string_has_no_length_rule(spark):
     d = p.spec.to_dict()
     assert [r["type"] for r in d["stages"][0]["rules"]] == ["clean_trim"]
     assert [r["id"] for r in d["stages"][1]["rules"]] == ["dq_EMAIL_min"]  # a bound of 0 counts
+
+
+def test_mixed_tables_and_missing_positions_are_refused(spark):
+    import pytest
+
+    from rowlint import SpecError
+
+    rows = [dict(r, table=t) for t in ("a", "b") for r in metadata_rows()]
+    meta = spark.createDataFrame(rows, METADATA_SCHEMA + ", table string")
+    with pytest.raises(SpecError):
+        suite_pipeline(meta)
+    with pytest.raises(ValueError):
+        derive_rules(meta.drop("ordinal"))
+
+
+def test_long_bounds_stay_exact(spark):
+    schema = METADATA_SCHEMA.replace("min: double, max: double", "min: bigint, max: bigint")
+    meta = spark.createDataFrame([{"ordinal": 1, "column": "v", "type": "BIGINT", "nullable": True, "length": None,
+                                   "constraints": {"regex": None, "min": None, "max": 9007199254740992, "enum": None}}], schema)
+    df = spark.createDataFrame([(9007199254740993,), (9007199254740992,)], "v long")
+    assert [r.dq_v_max for r in suite_pipeline(meta).compile(df).flat(["v"]).collect()] == ["FAIL", "PASS"]
+
+
+def test_profile_of_an_empty_table(spark):
+    from rowlint.operators import profile_columns
+
+    df = spark.createDataFrame([], "a long, b string, c double")
+    got = {r["column"]: r for r in profile_columns(df).collect()}
+    assert got["a"]["constraints"]["min"] is None and got["b"]["length"] is None and not got["c"]["nullable"]
+    assert suite_pipeline(profile_columns(df)).rule_ids == ["dq_a_not_null", "dq_b_not_null", "dq_c_not_null"]
