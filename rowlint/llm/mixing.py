@@ -69,21 +69,21 @@ def allocate(leaves: DataFrame, levels: tuple[str, ...], weights: Mapping[str, M
     get adds up to what the parent gives.
     """
     big = "decimal(38,0)"
-    cap = leaves.select(*levels, (F.col("tokens") * max_epochs).cast(big).alias("cap"))
+    cap = leaves.select(F.lit(0).alias("root"), *levels, (F.col("tokens") * max_epochs).cast(big).alias("cap"))
     # a subtree's capacity counts only leaves that its weights can reach
     open_ = F.lit(True)
     for x in levels:
         open_ = open_ & (_weight(x, weights) > 0)
     cap = cap.withColumn("cap", F.when(open_, F.col("cap")).otherwise(F.lit(0).cast(big)))
     total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t"))
-    parent = total.select(F.expr(f"cast(t as {big}) * {int(share[0])} div {int(share[1])}").cast(big).alias("b"))
-    above: list[str] = []
+    parent = total.select(F.lit(0).alias("root"), F.expr(f"cast(t as {big}) * {int(share[0])} div {int(share[1])}").cast(big).alias("b"))
+    above = ["root"]
     for x in levels:
         path = [*above, x]
         nodes = cap.groupBy(*path).agg(F.sum("cap").cast(big).alias("c")).withColumn("w", _weight(x, weights))
         nodes = nodes.where("w > 0 and c > 0")
-        nodes = nodes.join(parent, above) if above else nodes.crossJoin(F.broadcast(parent))  # one row: the root
-        up = Window.partitionBy(*above) if above else Window.partitionBy(F.lit(0))
+        nodes = nodes.join(parent, above)
+        up = Window.partitionBy(*above)
         order = up.orderBy((F.col("c").cast("double") / F.col("w").cast("double")), x)
         before, upto = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
         nodes = nodes.withColumn("b", F.least("b", F.sum("c").over(up).cast(big)))
