@@ -23,7 +23,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 from ._common import col
 
-RATE = 0.06
+RATE = 0.08
 BLOCK_CHARS = 4_000_000
 HITS = ArrayType(StructType([StructField("item_id", LongType()), StructField("distance", IntegerType()),
                              StructField("start", IntegerType()), StructField("end", IntegerType())]))
