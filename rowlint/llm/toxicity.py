@@ -40,7 +40,7 @@ from ._common import col
 DECAY = 0.5
 GAPS = ((0, 0), (1, 0), (0, 1), (1, 1), (2, 0), (0, 2))
 LANDMARKS = 320
-TOXIC_DOCS, CLEAN_DOCS, SENTENCES, SENTENCE_WORDS = 3000, 6000, 30000, 32
+TOXIC_DOCS, CLEAN_DOCS, SENTENCES, SENTENCE_WORDS = 3000, 6000, 20000, 32
 ROUNDS = 3
 CUTOFF = 0.7
 CHUNK = 1 << 20
@@ -176,17 +176,18 @@ def fit_words(words: list[str], toxic: np.ndarray, clean: np.ndarray, landmarks:
     slot = np.full(len(words), -1)
     slot[of] = np.arange(len(of))
     slot = slot[one]
-    toxic, clean = toxic[one].astype(float), clean[one].astype(float)
+    toxic, clean = toxic[one].astype(np.float32), clean[one].astype(np.float32)
     names = np.array(words, object)[one]
-    owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    rank = np.full(len(starts) - 1, -1)
+    owner = np.repeat(np.arange(len(starts) - 1, dtype=np.int32), np.diff(starts))
+    rank = np.full(len(starts) - 1, -1, np.int32)
     rank[slot] = np.arange(len(one))
     rows, codes, vals = [], [], []
     for at, code, w in subsequences(c, starts):
         rows.append(rank[owner[at]])
         codes.append(code)
-        vals.append(np.full(len(at), w))
-    rows, codes, vals = map(np.concatenate, (rows, codes, vals))
+        vals.append(np.full(len(at), w, np.float32))
+    rows, codes, vals = np.concatenate(rows), np.concatenate(codes), np.concatenate(vals)
+    del owner, at, code
     scale = norms(starts)[slot]
     # first guess: how much more often a word's subsequences occur in toxic sentences
     p = np.bincount(codes, vals * toxic[rows], SIZE ** 3)
@@ -194,6 +195,7 @@ def fit_words(words: list[str], toxic: np.ndarray, clean: np.ndarray, landmarks:
     ratio = np.log((p + 0.5) / (p.sum() + 1)) - np.log((q + 0.5) / (q.sum() + 1))
     mass = np.maximum(np.bincount(rows, vals, len(one)), 1e-9)
     guess = np.bincount(rows, vals * ratio[codes], len(one)) / mass
+    del p, q
     guess -= 1.0 / np.sqrt(toxic + 1)  # rare words say little
     seen = np.sort(guess[clean > 0])
     limit = max(1.0, seen[int(0.999 * (len(seen) - 1))]) if len(seen) else 1.0
@@ -245,7 +247,8 @@ def _svm(rows, codes, vals, scale, pos, neg, marks, weight):
         at[ids] = np.arange(len(ids))
         mine = (at[rows] >= 0) & (column[codes] >= 0)
         np.add.at(dense, (at[rows[mine]], column[codes[mine]]), vals[mine])
-        return dense / scale[ids][:, None]
+        dense /= scale[ids][:, None].astype(np.float32)
+        return dense
 
     z = phi(marks)
     k = (z @ z.T).astype(np.float64)
@@ -253,7 +256,8 @@ def _svm(rows, codes, vals, scale, pos, neg, marks, weight):
     ok = val > 1e-5
     root = vec[:, ok] / np.sqrt(val[ok])
     ids = np.r_[pos, neg]
-    x = np.concatenate([phi(ids[i:i + 500]).astype(np.float64) @ (z.T.astype(np.float64) @ root) for i in range(0, len(ids), 500)])
+    onto = (z.T @ root.astype(np.float32)).astype(np.float32)
+    x = np.concatenate([phi(ids[i:i + 250]) @ onto for i in range(0, len(ids), 250)]).astype(np.float64)
     x = np.c_[x, np.ones(len(x))]
     y = np.r_[np.ones(len(pos)), -np.ones(len(neg))]
     cost = np.r_[weight / weight.sum(), np.full(len(neg), 2.0 / len(neg))] * 200
@@ -268,7 +272,7 @@ def _svm(rows, codes, vals, scale, pos, neg, marks, weight):
         if done:
             break
     beta = np.zeros(SIZE ** 3)
-    beta[used] = z.T.astype(np.float64) @ (root @ w[:-1])
+    beta[used] = z.T @ (root @ w[:-1])
     return beta, float(w[-1])
 
 
@@ -334,7 +338,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         take = F.when(F.col("y") == 1, cut(sentences, m[1])).otherwise(cut(sentences, m[0]))
         pieces = pieces.where(F.pmod(F.xxhash64("d", "i", "j"), F.lit(scale)) < take)
     counts = (pieces.select("y", F.explode(F.array_distinct("w")).alias("w")).groupBy(F.lower(F.substring("w", 1, 64)).alias("w"))
-              .agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("q")).toPandas().sort_values("w"))
+              .agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("q")).toArrow().to_pandas().sort_values("w"))
     model = fit_words(counts["w"].tolist(), counts["p"].to_numpy(), counts["q"].to_numpy())
     got = sample.select("y", _scorer(model)("x").alias("f")).toPandas()
     if got["y"].nunique() < 2:
