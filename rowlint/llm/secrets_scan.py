@@ -35,11 +35,12 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # greedy runs: the same as runs of any lengt
 MIN_VALUE, MIN_ACCESS = 6, 20
 
 CUTOFF = 0.7
-MAX_PIECES = 64  # a sum of more literals is no constant: it is judged where it stands, not carried on
+ENDS = 16  # signs kept of both ends of a value: more than any fixed placeholder has
 STRONG = frozenset("password passwd passphrase pwd pass secret token apikey credential credentials privatekey accesskey secretkey bearer".split())
 WEAK = frozenset("auth authorization key cred creds salt signature cookie session pin".split())
 PAIRS = frozenset({("api", "key"), ("access", "key"), ("private", "key"), ("secret", "key"), ("signing", "key"), ("encryption", "key"), ("account", "key")})
-HINT = re.compile(r"(?ai:pass|pwd|secret|token|key|cred|auth|bearer|salt|signature|cookie|session)")
+# every sensitive name holds one of these, so a text without them has none
+HINT = re.compile("(?ai:" + "|".join(sorted(STRONG | WEAK | {last for _, last in PAIRS})) + ")")
 PLACEHOLDER = re.compile(r"(?ai:^(?:x+|\*+|\.+|none|null|nil|true|false|undefined|example.*|changeme|change_me|todo|your[_-].*|dummy|test|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*)$)")
 LEX = re.compile(r"""
     (?P<string>"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|`[^`\n]*+`)
@@ -64,24 +65,86 @@ def name_weight(name: str) -> float:
     return 0.35 if any(p in WEAK for p in parts) else 0.0
 
 
-def literal_weight(value: str, quoted: bool) -> float:
-    """How much a literal looks like a secret: its length, signs and entropy."""
-    if len(value) < MIN_VALUE or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
-        return -1.0
-    kinds = bool(re.search("[a-z]", value)) + bool(re.search("[A-Z]", value)) + bool(re.search("[0-9]", value)) + bool(re.search("[^A-Za-z0-9]", value))
-    counts = Counter(value)
-    entropy = -sum(c / len(value) * math.log2(c / len(value)) for c in counts.values())
-    w = 0.1 + 0.1 * (len(value) >= 16) + 0.1 * (kinds >= 2) + 0.15 * (entropy >= 3)
-    return w if quoted or kinds >= 2 else w - 0.3
+class Value:
+    """What a name was given: literals ``(start, end, quoted)`` and values of other names, by reference, in order."""
+
+    __slots__ = ("best", "look", "parts")
+
+    def __init__(self, parts: list[tuple[int, int, bool] | Value]):
+        self.parts = parts
+        self.look: Look | None = None
+        self.best: tuple[float, int, str] | None = None  # score, minus its place in the text, name
+
+
+class Look:
+    """What the weight of a literal depends on; for a sum made from its parts, however long it is."""
+
+    __slots__ = ("counts", "head", "quoted", "size", "tail")
 
+    def __init__(self, value: str = "", quoted: bool = False):
+        self.size, self.counts, self.quoted = len(value), Counter(value), quoted
+        self.head, self.tail = value[:ENDS], value[-ENDS:]
 
-def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int, bool]]]]:
-    """``(name, [(start, end, quoted), ...])``: the literals given to each name, in order.
+    def add(self, other: Look) -> None:
+        if self.size < ENDS:
+            self.head = (self.head + other.head)[:ENDS]
+        self.tail = other.tail if other.size >= ENDS else (self.tail + other.tail)[-ENDS:]
+        self.size += other.size
+        self.quoted |= other.quoted
+        for c, n in other.counts.items():
+            self.counts[c] += n
+        if self.size > 1 << 500:  # names that double again and again: entropy needs the proportions only
+            self.size >>= 400
+            self.counts = Counter({c: max(1, n >> 400) for c, n in self.counts.items()})
+
+    def weight(self) -> float:
+        """How much a literal looks like a secret: its length, signs and entropy."""
+        if self.size < MIN_VALUE or self._placeholder() or any(c.isspace() for c in self.counts):
+            return -1.0
+        signs = "".join(self.counts)
+        kinds = sum(bool(re.search(x, signs)) for x in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+        entropy = -sum(c / self.size * math.log2(c / self.size) for c in self.counts.values())
+        w = 0.1 + 0.1 * (self.size >= 16) + 0.1 * (kinds >= 2) + 0.15 * (entropy >= 3)
+        return w if self.quoted or kinds >= 2 else w - 0.3
+
+    def _placeholder(self) -> bool:
+        if self.size <= ENDS:
+            return bool(PLACEHOLDER.match(self.head))
+        # longer than any fixed word: one sign again and again, or told by the two ends
+        ends = self.head + self.tail
+        return bool(PLACEHOLDER.match(ends)) and (len(set(ends.lower())) > 1 or len({c.lower() for c in self.counts}) == 1)
+
+
+def literal_weight(value: str, quoted: bool) -> float:
+    """The weight of a single literal."""
+    return Look(value, quoted).weight()
+
+
+def look(text: str, value: Value) -> Look:
+    """The look of a value, parts first and without recursion, each value once."""
+    todo = [value]
+    while todo:
+        v = todo[-1]
+        missing = [] if v.look else [p for p in v.parts if isinstance(p, Value) and not p.look]
+        if missing:
+            todo += missing
+            continue
+        todo.pop()
+        if not v.look:
+            made = Look()
+            for p in v.parts:
+                made.add(p.look if isinstance(p, Value) else Look(text[p[0]:p[1]], p[2]))
+            v.look = made
+    return value.look
+
+
+def pairs(text: str) -> Iterator[tuple[str, Value]]:
+    """``(name, value)``: what each name is given, in order; parts come before what refers to them.
 
     A name once given literals stands for them on the right side from then on;
     inside one text only.
     """
-    known: dict[str, list[tuple[int, int, bool]]] = {}
+    known: dict[str, Value] = {}
     at, end = 0, len(text)
     before = None  # the name that an assignment sign would belong to
     while at < end:
@@ -92,22 +155,23 @@ def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int, bool]]]]:
         if kind == "name":
             before = m.group()
         elif kind == "string":
-            before = m.group()[1:-1] if 2 < len(m.group()) <= 130 else None
+            before = m.group()[1:-1] if len(m.group()) > 2 else None
         elif kind == "assign" and before:
             found, at = _value(text, at, known)
             if found:
-                if len(found) <= MAX_PIECES:
-                    known[before.lower()] = found
-                    known[before.lower().rpartition(".")[2]] = found
-                yield before, found
+                # another name for a value is that value
+                value = found[0] if len(found) == 1 and isinstance(found[0], Value) else Value(found)
+                known[before.lower()] = value
+                known[before.lower().rpartition(".")[2]] = value
+                yield before, value
             before = None
         else:
             before = None
 
 
-def _value(text: str, at: int, known: dict) -> tuple[list[tuple[int, int, bool]], int]:
-    """The literals of the expression at ``at`` and where it ends."""
-    out: list[tuple[int, int, bool]] = []
+def _value(text: str, at: int, known: dict[str, Value]) -> tuple[list[tuple[int, int, bool] | Value], int]:
+    """The parts of the expression at ``at`` and where it ends."""
+    out: list[tuple[int, int, bool] | Value] = []
     while True:
         while at < len(text) and text[at] in " \t":
             at += 1
@@ -128,7 +192,7 @@ def _value(text: str, at: int, known: dict) -> tuple[list[tuple[int, int, bool]]
             if text[m.end():m.end() + 1] == "(":  # a call: its arguments are read as assignments of their own
                 return out, m.end()
             if seen:
-                out += seen
+                out.append(seen)
             elif not out:
                 stop = m.end()
                 while stop > at and text[stop - 1] in ".:=+":
@@ -151,17 +215,24 @@ def scan(text: str, cutoff: float = CUTOFF) -> list[tuple[str, int, int, str | N
             if m.end(2) - m.start(2) >= MIN_VALUE:
                 out.append(("assign", m.start(), m.end(), m.group(1), 1.0))
         if HINT.search(text):
-            best: dict[tuple[int, int], tuple[float, str]] = {}
-            for name, literals in pairs(text):
+            best: dict[tuple[int, int], tuple[float, int, str]] = {}
+            values: dict[int, Value] = {}
+            for i, (name, value) in enumerate(pairs(text)):
+                values.setdefault(id(value), value)
                 w = name_weight(name)
                 if w:
-                    value = "".join(text[a:b] for a, b, _ in literals)
-                    score = round(w + literal_weight(value, any(q for _, _, q in literals)), 4)
-                    if score >= cutoff:
-                        for a, b, _ in literals:
-                            if b > a and (a, b) not in best or best.get((a, b), (9, ""))[0] < score:
-                                best[a, b] = (score, name)
-            out += [("literal", a, b, name, min(1.0, score)) for (a, b), (score, name) in best.items()]
+                    score = round(w + look(text, value).weight(), 4)
+                    if score >= cutoff and (value.best is None or value.best[0] < score):
+                        value.best = (score, -i, name)
+            # from each value to its parts, which were made before it: the highest score, then the first name
+            for value in reversed(values.values()):
+                if value.best:
+                    for p in value.parts:
+                        if isinstance(p, Value):
+                            p.best = max(p.best or value.best, value.best)
+                        elif p[1] > p[0]:
+                            best[p[:2]] = max(best.get(p[:2], value.best), value.best)
+            out += [("literal", a, b, name, min(1.0, score)) for (a, b), (score, _, name) in best.items()]
     if "AKIA" in text:
         out += [("access", m.start(), m.end(), None, 1.0) for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
     out += [("hex", m.start(), m.end(), None, 1.0) for m in HEX.finditer(text)]

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import time
@@ -98,3 +99,48 @@ def test_growing_sums_stay_small():
     secrets_scan.scan('a = "x1y2z3"\n' + "".join(f"b{i} = b{i - 1} + b{i - 1}\n" if i else "b0 = a\n" for i in range(3000)) + "password = b2999")
     secrets_scan.scan('k = "x1"\n' + 'k = k + "y2"\n' * 5000)
     assert time.time() - t0 < 10
+
+
+def test_every_sensitive_name_is_scanned():
+    for word in sorted(secrets_scan.STRONG | secrets_scan.WEAK) + [f"{a}_{b}" for a, b in secrets_scan.PAIRS]:
+        assert literals(f'{word} = "Abc123xyz987"') == [("Abc123xyz987", word)]
+    name = "a." * 100 + "secret"
+    assert literals(f'{{"{name}": "Abc123xyz987"}}') == [("Abc123xyz987", name)]
+
+
+def test_long_sums_are_carried_on():
+    parts = [f"aB{i}x9" for i in range(200)]
+    long = " + ".join(f'"{p}"' for p in parts)
+    assert literals(f'k = {long}\nsecret = k\n') == [(p, "secret") for p in parts]
+    got = literals(f'k = "Zk39fjQ0aPq81"\nk = {long}\nsecret = k\n')
+    assert got == [(p, "secret") for p in parts]  # not the earlier constant
+    assert literals(f'k = {" + ".join([chr(34) + "x" * 9 + chr(34)] * 90)}\nsecret = k\n') == []  # a placeholder
+
+
+def test_sums_of_sums_against_plain_strings():
+    random.seed(9)
+    t0 = time.time()
+    for _ in range(400):
+        alphabet = random.choice(["x", "xX", "ab", "abC1", "abcdefgh01", "<a>", "your_", "-9fZqL03"])
+        leaves = ["".join(random.choice(alphabet) for _ in range(random.randint(0, 12))) for _ in range(4)]
+        lines, plain, uses = [], {}, {}
+        for i, v in enumerate(leaves):
+            lines.append(f'v{i} = "{v}"')
+            plain[i], uses[i] = v, {i}
+        for i in range(4, 9):
+            a, b = random.randrange(i), random.randrange(i)
+            lines.append(f"v{i} = v{a} + v{b}")
+            plain[i], uses[i] = plain[a] + plain[b], uses[a] | uses[b]
+        lines.append("password = v8")
+        # the weight as the plain string has it
+        value = plain[8]
+        kinds = sum(bool(re.search(x, value)) for x in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+        entropy = -sum(value.count(c) / len(value) * math.log2(value.count(c) / len(value)) for c in set(value))
+        w = 0.1 + 0.1 * (len(value) >= 16) + 0.1 * (kinds >= 2) + 0.15 * (entropy >= 3 - 1e-12)
+        good = len(value) >= 6 and not secrets_scan.PLACEHOLDER.match(value) and 0.6 + w >= 0.7
+        assert [x for x, _ in literals("\n".join(lines))] == [leaves[i] for i in range(4) if good and i in uses[8] and leaves[i]]
+    doubling = 'v0 = "aB3dE6gH"\n' + "".join(f"v{i} = v{i - 1} + v{i - 1}\n" for i in range(1, 5000)) + "secret = v4999\n"
+    assert literals(doubling) == [("aB3dE6gH", "secret")]
+    many = "k = " + " + ".join(['"aB3dE6gH"'] * 20000) + "\n" + "secret = k\n" * 20000
+    assert len(literals(many)) == 20000
+    assert time.time() - t0 < 60
