@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from .chat import OP13_SQL, op13_chat
+from .collocations import OP12_SQL, op12_collocations
 from .context_mixing import op6_lm_score
 from .decontam import op7_decontamination
+from .fim import OP11_SQL, op11_fim
 from .line_dedup import OP9_SQL, op9_line_dedup
 from .mixing import OP10_SQL, op10_mixing
 from .mtree import OP2_SQL, op2_topk
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op11_fim": op11_fim,
+    "op12_collocations": op12_collocations,
+    "op13_chat": op13_chat,
 }
 
 SQL = {
@@ -31,4 +37,7 @@ SQL = {
     "op8_warc": OP8_SQL,
     "op9_line_dedup": OP9_SQL,
     "op10_mixing": OP10_SQL,
+    "op11_fim": OP11_SQL,
+    "op12_collocations": OP12_SQL,
+    "op13_chat": OP13_SQL,
 }
