@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 import warnings
 from collections.abc import Callable
 
@@ -26,21 +27,21 @@ if _HERE not in sys.path:  # importable when loaded by file path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowlint import DEFAULT_REGISTRY, Param, Pipeline, SpecWarning, derive_rules, register_check, report
+from rowlint import DEFAULT_REGISTRY, Param, Pipeline, SpecWarning, derive_rules, reconcile, register_check, report
 from rowlint.operators import profile_columns
-from rowlint.sources import dirty_customers
+from rowlint.sources import dirty_customers, read_csv, shared_folder, write_csv, write_reports, write_split
 from rowlint.sources.dirty import DIRTY_CUSTOMERS_SQL
 from rowlint.specs import metadata_frame, spec_path
 from rowlint.streaming.quality import quality_by_window
 
-try:  # the training-data operators are optional: the rest works without them
+# the training-data operators are optional: the rest works where their folder or
+# file is not there; if it is, its errors are raised
+_llm = _pipeline = None
+if os.path.isdir(os.path.join(_HERE, "rowlint", "llm")):
     from rowlint.llm import queries as _llm
-except ImportError:
-    _llm = None
-try:
-    import corpus_pipeline as _pipeline
-except ImportError:
-    _pipeline = None
+
+    if os.path.exists(os.path.join(_HERE, "corpus_pipeline.py")):
+        import corpus_pipeline as _pipeline
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -377,13 +378,139 @@ def events_quality_untimed(spark, sf_dir):
     return quality_by_window(EVENTS.compile(ev), "ts", "1 day")
 
 
-def documents_profile_rules(spark, sf_dir):
-    # a rule suite derived from the columns as they are
-    meta = profile_columns(_t(spark, sf_dir, "documents").withColumn("text", F.when(F.col("doc_id") % 5 != 0, F.col("text"))),
-                           patterns={"lang": "^[a-z]{2}$"}, enums={"lang": ["en", "de", "fr", "es"]})
+def documents_profile(spark, sf_dir):
+    # a rule suite derived from the columns of the whole table
+    meta = profile_columns(_t(spark, sf_dir, "documents"), patterns={"lang": "^[a-z]{2}$"}, enums={"lang": ["en", "de", "fr", "es"]})
     return derive_rules(meta).withColumn("values", F.array_join("values", ","))
 
 
+# -- sources and sinks ---------------------------------------------------
+def _scratch(spark, name: str) -> str:
+    return f"{shared_folder(spark)}/rowlint-{uuid.uuid4().hex}/{name}"
+
+
+def csv_scan(spark, sf_dir):
+    # the dirty view as CSV files, read back as text and checked
+    path = _scratch(spark, "customers")
+    write_csv(_dirty(spark, sf_dir), path)
+    return COMPLEX.compile(read_csv(spark, path)).flat(["id", "name", "email", "age", "country", "signup_date"])
+
+
+def report_tables(spark, sf_dir):
+    # the report sink: the summary and the flat verdicts, reread and put side by side
+    path = _scratch(spark, "reports")
+    run = COMPLEX.compile(_dirty(spark, sf_dir))
+    write_reports(run, path, ["id"])
+    flat = spark.read.parquet(f"{path}/flat")
+    failed = flat.select(F.explode(F.array(*[F.struct(F.lit(i).alias("rule_id"), F.col(i).alias("status")) for i in run.rule_ids])).alias("r"))
+    counted = failed.groupBy("r.rule_id").agg(F.count_if(F.col("r.status") == "FAIL").alias("n_fail_flat"))
+    return spark.read.parquet(f"{path}/summary").join(counted, "rule_id")
+
+
+def split_counts(spark, sf_dir):
+    # clean and quarantined rows written in one pass, reread: none is lost
+    path = _scratch(spark, "split")
+    write_split(ORDERS.compile(_t(spark, sf_dir, "orders")), path)
+    back = spark.read.parquet(path)
+    return back.groupBy(F.col("_dq_passed").cast("string").alias("passed"), F.col("_dq_failed").alias("n_failed")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("o_orderkey").alias("n_keys"))
+
+
+def observed_counts(spark, sf_dir):
+    # verdicts counted while the annotated rows are written
+    rows, seen = EVENTS.compile(_t(spark, sf_dir, "events")).observed()
+    rows.write.parquet(_scratch(spark, "events"))
+    got = seen.get
+    return spark.createDataFrame([(k, v, got["_rows"]) for k, v in got.items() if k != "_rows"], "rule_id string, n_pass long, n_rows long")
+
+
+# -- rules that need more than the row -------------------------------------
+ORDERS_UNIQUE = _one("dq", [
+    {"id": "ord_key_once", "type": "check_unique", "column": "o_orderkey"},
+    {"id": "ord_cust_day_once", "type": "check_unique", "column": "o_custkey", "columns": ["o_orderdate"]},
+    {"id": "ord_priority_once", "type": "check_unique", "column": "o_orderpriority"},
+    {"id": "ord_clerk_once", "type": "check_unique", "column": "big", "columns": ["o_custkey"]},
+])
+
+
+def orders_unique(spark, sf_dir):
+    # one key that is unique, one nearly, one hot, and one that is mostly NULL
+    orders = _t(spark, sf_dir, "orders").withColumn("big", F.when(F.col("o_totalprice") > 300000, F.col("o_orderstatus")))
+    return ORDERS_UNIQUE.compile(orders).flat(["o_orderkey"])
+
+
+TEXT_UNIQUE = _one("dq", [{"id": "doc_text_once", "type": "check_unique", "column": "text", "digest": True}])
+
+
+def documents_unique(spark, sf_dir):
+    return TEXT_UNIQUE.compile(_t(spark, sf_dir, "documents")).flat(["doc_id"])
+
+
+# a later version of orders, as SQL that Spark and DuckDB both read: rows gone,
+# prices and states changed, dates lost, new keys, and rows written twice
+ORDERS_LATER = """WITH v AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+    CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+    CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate, o_orderpriority
+  FROM {orders} WHERE o_orderkey % 13 <> 3)
+SELECT * FROM v UNION ALL SELECT * FROM v WHERE o_orderkey % 19 = 0
+UNION ALL SELECT o_orderkey + 1000000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM v WHERE o_orderkey % 17 = 0"""
+
+
+def orders_reconcile(spark, sf_dir):
+    old = _t(spark, sf_dir, "orders")
+    new = spark.sql(ORDERS_LATER.format(orders="{orders}"), orders=old)
+    return reconcile(old, new, ["o_orderkey"]).withColumn("changed_columns", F.array_join("changed_columns", ","))
+
+
+PERIODS = _one("dq", [
+    {"id": "li_in_big_week", "type": "check_interval", "column": "l_shipdate", "table": "big_orders", "start": "o_orderdate", "end": "until", "bin": 864000},
+    {"id": "li_in_own_month", "type": "check_interval", "column": "l_shipdate", "table": "own", "start": "o_orderdate", "end": "until", "bin": 864000,
+     "on": ["l_orderkey=o_orderkey"], "closed": "left"},
+    {"id": "li_price_band", "type": "check_interval", "column": "l_extendedprice", "table": "bands", "start": "low", "end": "high", "bin": 5000},
+])
+
+
+def lineitem_periods(spark, sf_dir):
+    # ship dates in the week after any large order, and in the month after their own; prices near a customer's balance
+    orders = _t(spark, sf_dir, "orders")
+    tables = {
+        "big_orders": orders.where("o_totalprice > 480000").withColumn("until", F.expr("o_orderdate + INTERVAL 7 DAYS")),
+        "own": orders.withColumn("until", F.expr("o_orderdate + INTERVAL 30 DAYS")),
+        "bands": _t(spark, sf_dir, "customer").selectExpr("c_acctbal * 10 AS low", "c_acctbal * 10 + 25 AS high"),
+    }
+    return PERIODS.compile(_t(spark, sf_dir, "lineitem"), tables=tables).flat(["l_orderkey", "l_linenumber"])
+
+
+EVENTS_SEQUENCE = _one("dq", [
+    {"id": "ev_no_step_back", "type": "check_sequence", "column": "ts", "by": ["user_id"], "order": "event_id", "min_step": 0, "span": 2000},
+    {"id": "ev_within_hours", "type": "check_sequence", "column": "ts", "by": ["user_id"], "max_step": 43200, "span": 604800},
+    {"id": "ev_id_no_gap", "type": "check_sequence", "column": "event_id", "by": ["all"], "first": 0, "span": 512},
+    {"id": "ev_value_rises", "type": "check_sequence", "column": "value", "by": ["event_type"], "order": "event_id", "min_step": 0},
+])
+
+
+def events_sequence(spark, sf_dir):
+    # "all" is one key that holds every row: its stretches are checked in parallel
+    return EVENTS_SEQUENCE.compile(_t(spark, sf_dir, "events").withColumn("all", F.lit(1))).flat(["event_id"])
+
+
+TURNS_SEQUENCE = _one("dq", [{"id": "turn_follows", "type": "check_sequence", "column": "turn", "by": ["conv_id"], "first": 0, "span": 64}])
+
+
+def conversations_sequence(spark, sf_dir):
+    # user turns only: their numbers have gaps, and some conversations open with the system
+    turns = _t(spark, sf_dir, "conversations").where("role <> 'system'")
+    return TURNS_SEQUENCE.compile(turns).flat(["conv_id", "turn"])
+
+
+def lineitem_rollup(spark, sf_dir):
+    return LINEITEM.compile(_t(spark, sf_dir, "lineitem")).rollup(["l_returnflag", "l_linestatus"])
+
+
+def lineitem_worst(spark, sf_dir):
+    return LINEITEM.compile(_t(spark, sf_dir, "lineitem")).worst(25, ["l_orderkey", "l_linenumber"], by=[F.desc("l_extendedprice")])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the seven-rule customer suite over the dirty view, summarised."""
     return dq_summary(spark, SF_SMOKE)
@@ -425,7 +552,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "orders_customer_ref": orders_customer_ref,
         "lineitem_sets": lineitem_sets,
         "events_quality_untimed": events_quality_untimed,
-        "documents_profile_rules": documents_profile_rules,
+        "documents_profile": documents_profile,
+        "csv_scan": csv_scan,
+        "report_tables": report_tables,
+        "split_counts": split_counts,
+        "observed_counts": observed_counts,
+        "orders_unique": orders_unique,
+        "documents_unique": documents_unique,
+        "orders_reconcile": orders_reconcile,
+        "lineitem_periods": lineitem_periods,
+        "events_sequence": events_sequence,
+        "conversations_sequence": conversations_sequence,
+        "lineitem_rollup": lineitem_rollup,
+        "lineitem_worst": lineitem_worst,
         **(_llm.QUERIES if _llm else {}),
         **({"pipeline": _pipeline.run} if _pipeline else {}),
     }
@@ -467,7 +606,7 @@ s AS (SELECT id, name, lower(trim(email, ' ')) AS email, country,
         email IS NOT NULL AS f1, regexp_matches(email, '{MIXED_MAIL}') AS f2 FROM d),
 t AS (SELECT *, regexp_matches(email, '{LOWER_MAIL}') AS f3 FROM s)"""
 
-_LI = """SELECT l_orderkey, l_linenumber, lower(l_returnflag) AS l_returnflag, lower(l_linestatus) AS l_linestatus,
+_LI = """SELECT l_orderkey, l_linenumber, l_extendedprice, lower(l_returnflag) AS l_returnflag, lower(l_linestatus) AS l_linestatus,
   l_quantity BETWEEN 10 AND 40 AS f1, l_discount <= CAST(0.05 AS DOUBLE) AS f2, l_tax >= CAST(0.02 AS DOUBLE) AS f3,
   l_returnflag IN ('A', 'R') AS f4, regexp_matches(l_linestatus, '^[O]$') AS f5, l_shipdate IS NOT NULL AS f6,
   lower(l_returnflag) IN ('a', 'n', 'r') AS f7, l_extendedprice >= 10000 AS f8,
@@ -486,6 +625,13 @@ FROM events"""
 _EV_IDS = ["ev_type_set", "ev_value_range", "ev_props_fmt", "ev_type_len", "ev_user_min"]
 
 
+_ORD = """SELECT o_orderkey, lower(o_orderpriority) AS o_orderpriority,
+  o_orderstatus IN ('F', 'O') AS f1, regexp_matches(o_orderpriority, '^[1-3]-') AS f2,
+  o_totalprice BETWEEN 5000 AND 400000 AS f3, o_custkey >= 100 AS f4,
+  length(lower(o_orderpriority)) BETWEEN 5 AND 8 AS f5,
+  regexp_matches(lower(o_orderpriority), '^[0-9]-[a-z ]+') AS f6 FROM orders"""
+
+
 def _flags(ids: list[str]) -> str:
     return ", ".join(_st(f"coalesce(f{i}, false)", rid) for i, rid in enumerate(ids, start=1))
 
@@ -564,11 +710,7 @@ def oracle_sql() -> dict[str, str]:
         "pages_checks": f"""WITH s AS (SELECT page_id, upper(url) AS url, regexp_matches(url, '{HTTPS_URL}') AS f1,
               length(url) <= 45 AS f2, length(html) >= 1000 AS f3, regexp_matches(upper(url), '^HTTP://') AS f4 FROM pages)
             SELECT page_id, url, {_flags(['url_https', 'url_len', 'html_len', 'url_upper_http'])} FROM s""",
-        "orders_checks": f"""WITH s AS (SELECT o_orderkey, lower(o_orderpriority) AS o_orderpriority,
-              o_orderstatus IN ('F', 'O') AS f1, regexp_matches(o_orderpriority, '^[1-3]-') AS f2,
-              o_totalprice BETWEEN 5000 AND 400000 AS f3, o_custkey >= 100 AS f4,
-              length(lower(o_orderpriority)) BETWEEN 5 AND 8 AS f5,
-              regexp_matches(lower(o_orderpriority), '^[0-9]-[a-z ]+') AS f6 FROM orders)
+        "orders_checks": f"""WITH s AS ({_ORD})
             SELECT o_orderkey, o_orderpriority, {_flags(['ord_status_set', 'ord_priority_fmt', 'ord_price_range', 'ord_cust_min', 'ord_priority_len', 'ord_priority_lower'])} FROM s""",
         "conversations_checks": f"""WITH s AS (SELECT conv_id, turn, upper(role) AS role,
               role IN ('user', 'assistant') AS f1, length(text) BETWEEN 30 AND 1000 AS f2,
@@ -592,7 +734,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
                    rule_id, count(*) FILTER (WHERE ok) AS n_pass, count(*) FILTER (WHERE NOT ok) AS n_fail, count(*) AS n_rows
             FROM e GROUP BY ALL""",
-        "documents_profile_rules": """WITH d AS (SELECT * REPLACE (CASE WHEN doc_id % 5 <> 0 THEN text END AS text) FROM documents),
+        "documents_profile": """WITH d AS (SELECT * FROM documents),
             p(ordinal, name, kind, nulls, len, lo, hi, pattern, vals) AS (
               SELECT 0, 'doc_id', 'n', count(*) - count(doc_id), NULL, min(doc_id), max(doc_id), NULL, NULL FROM d
               UNION ALL SELECT 1, 'text', 't', count(*) - count(text), max(length(text)), NULL, NULL, NULL, NULL FROM d
@@ -611,6 +753,54 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(stage_no AS INTEGER) AS stage_no, stage_name, stage_type, CAST(ordinal AS BIGINT) AS ordinal, CAST(rule_pos AS INTEGER) AS rule_pos,
               id, type, name AS "column", pattern, CAST(value AS BIGINT) AS value, vals AS "values", CAST(min_len AS INTEGER) AS min_len,
               CAST(max_len AS INTEGER) AS max_len FROM r""",
+        "csv_scan": f"{_COMPLEX_CTES} SELECT CAST(id AS VARCHAR) AS id, name, email, age, country, signup_date, "
+        + ", ".join(_st(f"coalesce(f{i}, false)", rid) for i, rid in enumerate(_COMPLEX_IDS, start=1)) + " FROM s3",
+        "report_tables": f"{_COMPLEX_CTES}, e AS ({_COMPLEX_EXPLODED}) SELECT *, n_fail AS n_fail_flat FROM ({_SUMMARY_OF_E})",
+        "split_counts": f"""WITH s AS ({_ORD}), c AS (SELECT o_orderkey, {' + '.join(f"CASE WHEN coalesce(f{i}, false) THEN 0 ELSE 1 END" for i in range(1, 7))} AS n FROM s)
+            SELECT CASE WHEN n = 0 THEN 'true' ELSE 'false' END AS passed, CAST(n AS INTEGER) AS n_failed, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys
+            FROM c GROUP BY ALL""",
+        "observed_counts": f"WITH s AS ({_EV}) " + " UNION ALL ".join(
+            f"SELECT '{rid}' AS rule_id, count(*) FILTER (WHERE f{i}) AS n_pass, count(*) AS n_rows FROM s" for i, rid in enumerate(_EV_IDS, start=1)),
+        "orders_unique": f"""WITH o AS (SELECT *, CASE WHEN o_totalprice > 300000 THEN o_orderstatus END AS big FROM orders),
+            s AS (SELECT o_orderkey, count(*) OVER (PARTITION BY o_orderkey) = 1 AS f1,
+              count(*) OVER (PARTITION BY o_custkey, o_orderdate) = 1 AS f2, count(*) OVER (PARTITION BY o_orderpriority) = 1 AS f3,
+              big IS NOT NULL AND count(*) OVER (PARTITION BY big, o_custkey) = 1 AS f4 FROM o)
+            SELECT o_orderkey, {_flags(['ord_key_once', 'ord_cust_day_once', 'ord_priority_once', 'ord_clerk_once'])} FROM s""",
+        "documents_unique": f"SELECT doc_id, {_st('text IS NOT NULL AND count(*) OVER (PARTITION BY text) = 1', 'doc_text_once')} FROM documents",
+        "orders_reconcile": f"""WITH n AS ({ORDERS_LATER.format(orders='orders')}),
+            k AS (SELECT o_orderkey, count(*) AS c FROM n GROUP BY o_orderkey),
+            j AS (SELECT coalesce(o.o_orderkey, k.o_orderkey) AS o_orderkey, o.o_orderkey IS NOT NULL AS was, coalesce(k.c, 0) AS c,
+                o.o_custkey IS DISTINCT FROM n.o_custkey AS d1, o.o_orderstatus IS DISTINCT FROM n.o_orderstatus AS d2,
+                o.o_totalprice IS DISTINCT FROM n.o_totalprice AS d3, o.o_orderdate IS DISTINCT FROM n.o_orderdate AS d4,
+                o.o_orderpriority IS DISTINCT FROM n.o_orderpriority AS d5
+              FROM orders o FULL JOIN k ON k.o_orderkey = o.o_orderkey LEFT JOIN (SELECT DISTINCT * FROM n) n ON n.o_orderkey = k.o_orderkey),
+            h AS (SELECT *, CASE WHEN NOT was THEN 'added' WHEN c = 0 THEN 'removed' WHEN NOT (d1 OR d2 OR d3 OR d4 OR d5) AND c > 1 THEN 'repeated'
+                WHEN d1 OR d2 OR d3 OR d4 OR d5 THEN 'changed' ELSE 'same' END AS change FROM j)
+            SELECT o_orderkey, change, CASE WHEN change <> 'changed' THEN ''
+                WHEN c > 1 THEN 'o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority'
+                ELSE concat_ws(',', CASE WHEN d1 THEN 'o_custkey' END, CASE WHEN d2 THEN 'o_orderstatus' END, CASE WHEN d3 THEN 'o_totalprice' END,
+                  CASE WHEN d4 THEN 'o_orderdate' END, CASE WHEN d5 THEN 'o_orderpriority' END) END AS changed_columns,
+              CAST(CASE WHEN was THEN 1 ELSE 0 END AS BIGINT) AS n_old, CAST(c AS BIGINT) AS n_new FROM h WHERE change <> 'same'""",
+        "lineitem_periods": f"""WITH s AS (SELECT l_orderkey, l_linenumber,
+              EXISTS (SELECT 1 FROM orders o WHERE o.o_totalprice > 480000 AND l_shipdate BETWEEN o_orderdate AND o_orderdate + INTERVAL 7 DAY) AS f1,
+              EXISTS (SELECT 1 FROM orders o WHERE o_orderkey = l_orderkey AND l_shipdate >= o_orderdate AND l_shipdate < o_orderdate + INTERVAL 30 DAY) AS f2,
+              EXISTS (SELECT 1 FROM customer WHERE l_extendedprice BETWEEN c_acctbal * 10 AND c_acctbal * 10 + 25) AS f3 FROM lineitem)
+            SELECT l_orderkey, l_linenumber, {_flags(['li_in_big_week', 'li_in_own_month', 'li_price_band'])} FROM s""",
+        "events_sequence": f"""WITH s AS (SELECT event_id,
+              coalesce(epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY event_id) >= 0, true) AS f1,
+              count(*) OVER (PARTITION BY user_id, ts) = 1 AND coalesce(epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) <= 43200000000, true) AS f2,
+              coalesce(event_id - lag(event_id) OVER (ORDER BY event_id) = 1, event_id = 0) AS f3,
+              coalesce(value - lag(value) OVER (PARTITION BY event_type ORDER BY event_id) >= 0, true) AS f4 FROM events)
+            SELECT event_id, {_flags(['ev_no_step_back', 'ev_within_hours', 'ev_id_no_gap', 'ev_value_rises'])} FROM s""",
+        "conversations_sequence": f"""WITH s AS (SELECT conv_id, turn, coalesce(turn - lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) = 1, turn = 0) AS f1
+              FROM conversations WHERE role <> 'system') SELECT conv_id, turn, {_flags(['turn_follows'])} FROM s""",
+        "lineitem_rollup": f"""WITH s AS ({_LI}), e AS ({' UNION ALL '.join(f"SELECT l_returnflag, l_linestatus, '{rid}' AS rule_id, coalesce(f{i}, false) AS ok FROM s" for i, rid in enumerate(_LI_IDS, start=1))})
+            SELECT l_returnflag, l_linestatus, GROUPING(l_returnflag, l_linestatus) AS level, rule_id, count(*) FILTER (WHERE ok) AS n_pass,
+              count(*) FILTER (WHERE NOT ok) AS n_fail, count(*) AS n_rows, CAST(count(*) FILTER (WHERE ok) AS DOUBLE) / count(*) AS pass_rate
+            FROM e GROUP BY rule_id, ROLLUP (l_returnflag, l_linestatus)""",
+        "lineitem_worst": f"""WITH s AS ({_LI}), e AS ({' UNION ALL '.join(f"SELECT l_orderkey, l_linenumber, l_extendedprice, '{rid}' AS rule_id FROM s WHERE NOT coalesce(f{i}, false)" for i, rid in enumerate(_LI_IDS, start=1))}),
+            r AS (SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS rank FROM e)
+            SELECT rule_id, CAST(rank AS INTEGER) AS rank, l_orderkey, l_linenumber FROM r WHERE rank <= 25""",
         **(_llm.SQL if _llm else {}),
         **({"pipeline": _pipeline.ORACLE_SQL} if _pipeline and _pipeline.ORACLE_SQL else {}),
     }

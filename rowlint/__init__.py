@@ -5,7 +5,7 @@ that stage; reports summarise verdicts per rule or list one row per finding.
 """
 
 from .functions import DEFAULT_REGISTRY, Param, Registry, RuleTypeError, register_check, register_cleanser
-from .operators import derive_rules, report, suite_pipeline
+from .operators import derive_rules, reconcile, reconcile_summary, report, suite_pipeline
 from .sources import read_csv, read_table, spread, write_annotated, write_reports, write_split
 from .streaming import annotate_stream, quality_by_window
 from .plans import (
@@ -41,6 +41,8 @@ __all__ = [
     "quality_by_window",
     "read_csv",
     "read_table",
+    "reconcile",
+    "reconcile_summary",
     "spread",
     "write_annotated",
     "write_reports",

@@ -55,9 +55,9 @@ class RuleDef:
     params: tuple[Param, ...] = ()
     check: Callable[[dict[str, Any]], list[str]] | None = None
     result_type: DataType | None = None
-    # a check whose predicate needs a reference table (resolved at compile
-    # time and joined in), not only the row itself
-    joins: bool = False
+    # a check that needs more than the row itself: ``attach(binding)`` returns the
+    # rows with what it joins in, and the predicate (see ``plans.attach``)
+    attach: Callable[..., Any] | None = None
 
     def param_names(self) -> set[str]:
         names = set()

@@ -1,6 +1,7 @@
-"""Operators over whole tables: reports from result maps, suite derivation."""
+"""Operators over whole tables: reports from result maps, suite derivation, comparison."""
 
 from . import report
+from .reconcile import reconcile, reconcile_summary
 from .suite import derive_rules, profile_columns, suite_pipeline
 
-__all__ = ["derive_rules", "profile_columns", "report", "suite_pipeline"]
+__all__ = ["derive_rules", "profile_columns", "reconcile", "reconcile_summary", "report", "suite_pipeline"]

@@ -26,19 +26,19 @@ from operator import add
 from typing import Iterable, Mapping, Sequence
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from ..functions.checks import RuleTypeError
 from ..functions.registry import DEFAULT_REGISTRY, Registry
+from .attach import Binding
 from .spec import PipelineSpec, SpecError, SpecWarning
 
 RESULTS_COL = "_dq_results"
 PASS, FAIL = "PASS", "FAIL"
 MAP_FORMS = ("entries", "arrays")
 ON_RECHECK = ("replace", "error")
-NULL_SALTS = 64
 
 
 def quote(name: str) -> str:
@@ -208,8 +208,8 @@ class CompiledPipeline:
                     try:
                         path, dtype = self._target(schema, rule.column)
                         rdef = self._rule_def("dq", rule.type)
-                        if rdef.joins:
-                            df, pred = self._join_keys(df, rule, path, dtype, taken)
+                        if rdef.attach:
+                            df, pred = self._attach(df, schema, rule, rdef, path, dtype, taken)
                         else:
                             pred = rdef.build(column_at(path), dtype, **rule.kwargs())
                     except (SpecError, RuleTypeError) as e:
@@ -251,48 +251,31 @@ class CompiledPipeline:
             raise SpecError([f"no {kind} rule type {name!r} in this pipeline's registry"])
         return rdef
 
-    def _join_keys(self, df: DataFrame, rule, path, dtype, taken: set[str]) -> tuple[DataFrame, Column]:
-        """Left-join the distinct reference keys; a hit is a PASS.
+    def _attach(self, df: DataFrame, schema: StructType, rule, rdef, path, dtype, taken: set[str]) -> tuple[DataFrame, Column]:
+        """The rows with what a rule of ``plans.attach`` joins in, and its predicate."""
+        n = len(self.rules)
 
-        The reference side is reduced to its distinct keys (cast to the
-        checked column's type; a key that does not come back equal from that
-        type cannot be met and is dropped), so each row matches at most once
-        and the row count never changes.  No broadcast hint: Spark broadcasts
-        only when the size of the distinct keys is under its threshold, and
-        otherwise plans a sort-merge join.
+        def fresh(what: str) -> str:
+            name = f"__{what}_{n}"
+            while name in taken:
+                name = "_" + name
+            taken.add(name)
+            return name
 
-        The join has a second key: 0 for every reference key, and for rows 0 or,
-        where the value is NULL, a salt of the row.  So NULLs spread over the
-        tasks, and the reference side is exchanged after its aggregate, which
-        leaves AQE a plain exchange on both sides and lets it split a hot key.
-        """
-        p = rule.kwargs()
-        name = p["table"]
-        ref = self.tables.get(name)
-        if ref is None:
+        def table_of(name: str) -> DataFrame:
+            if name in self.tables:
+                return self.tables[name]
             try:
-                ref = df.sparkSession.table(name)
+                return df.sparkSession.table(name)
             except Exception as e:
                 raise SpecError([f"rule {rule.id}: no table {name!r} (pass tables={{...}} to compile)"]) from e
-        kpath, ktype = resolve(ref.schema, p.get("key") or rule.column, self.case_sensitive)
-        n = len(self.rules)
-        kname, hname, sname, rname = f"__ref_key_{n}", f"__ref_hit_{n}", f"__ref_salt_{n}", f"__row_salt_{n}"
-        while taken & {kname, hname, sname, rname}:
-            kname, hname, sname, rname = ("_" + x for x in (kname, hname, sname, rname))
-        taken.update((kname, hname, sname, rname))
-        raw = column_at(kpath)
-        keys = (
-            ref.select(raw.try_cast(dtype).alias(kname), raw.alias("__raw"))
-            .where(F.col(kname).isNotNull() & (F.col(kname).try_cast(ktype) == F.col("__raw")))
-            .groupBy(kname).agg(F.max(F.lit(0)).alias(sname), F.max(F.lit(True)).alias(hname))
-        )
-        value = column_at(path)
-        others = [F.col(quote(f.name)) for f in df.schema.fields if f.name != path[0] and "map<" not in f.dataType.simpleString()
-                  and "variant" not in f.dataType.simpleString()]
-        salt = F.pmod(F.xxhash64(*others), F.lit(NULL_SALTS)).cast("int") + 1 if others else F.lit(0)
-        rows = df.withColumn(rname, F.when(value.isNull(), salt).otherwise(F.lit(0)))
-        joined = rows.join(keys, (value == F.col(kname)) & (F.col(rname) == F.col(sname)), "left").drop(rname, sname, kname)
-        return joined, F.col(hname)
+
+        def found(schema: StructType, name: str) -> tuple[Column, DataType]:
+            at, kind = resolve(schema, name, self.case_sensitive)
+            return column_at(at), kind
+
+        return rdef.attach(Binding(df, rule, column_at(path), dtype, lambda c: found(schema, c), table_of,
+                                   lambda t, c: found(t.schema, c), fresh))
 
     def _target(self, schema: StructType, name: str) -> tuple[list[str], DataType]:
         path, dtype = resolve(schema, name, self.case_sensitive)
@@ -341,7 +324,7 @@ class CompiledPipeline:
     @property
     def staged(self) -> DataFrame:
         """Input columns (cleansed) plus hidden columns: one boolean per rule, and
-        the hit of each ``check_in_table`` rule."""
+        the hit of each rule that joins (``plans.attach``)."""
         return self._staged
 
     def _outputs(self) -> list[Column]:
@@ -431,6 +414,60 @@ class CompiledPipeline:
             "rule_id", "n_pass", "n - n_pass AS n_fail", "n AS n_rows", "try_divide(n_pass, n) AS pass_rate"
         )
 
+    def rollup(self, columns: Sequence[str], sets: Sequence[Sequence[str]] | None = None) -> DataFrame:
+        """Verdict counts per rule at every level of ``columns``: ``columns, level,
+        rule_id, n_pass, n_fail, n_rows, pass_rate``.
+
+        The levels are those of a rollup (all columns, all but the last, ...,
+        none) or the given ``sets``.  The rows are counted once, at the finest level;
+        only those partial counts are expanded to the other levels.  ``level`` is
+        the grouping id (bit 1 where a column is summed over), which tells a total
+        from a NULL in the data.  An empty table has no row, not even a total.
+        """
+        columns = list(columns)
+        if not columns:
+            raise SpecError(["rollup needs columns"])
+        unknown = [c for s in sets or [] for c in s if c not in columns]
+        if unknown:
+            raise SpecError([f"rollup sets name columns that are not rolled up: {unknown}"])
+        clash = sorted(set(columns) & {"level", "rule_id", "n_pass", "n_fail", "n_rows", "pass_rate"})
+        if clash:
+            raise SpecError([f"rollup columns named like a result column: {clash}"])
+        keys = [f"__k{i}" for i in range(len(columns))]
+        passed = [f"__p{i}" for i in range(len(self.rules))]
+        counts = [F.count_if(F.col(r.flag)).alias(p) for p, r in zip(passed, self.rules)]
+        finest = self._staged.groupBy(*[F.col(quote(c)).alias(k) for c, k in zip(columns, keys)]).agg(*counts, F.count(F.lit(1)).alias("__n"))
+        levels = [keys[:i] for i in range(len(keys), -1, -1)] if sets is None else [[keys[columns.index(c)] for c in s] for s in sets]
+        sums = [F.sum(p).alias(p) for p in passed]
+        per = finest.groupingSets([[F.col(k) for k in s] for s in levels], *[F.col(k) for k in keys]).agg(
+            F.grouping_id().alias("level"), *sums, F.sum("__n").alias("__n")).where("__n is not null")
+        entries = F.array(*[F.struct(F.lit(r.id).alias("rule_id"), F.col(p).alias("n_pass")) for p, r in zip(passed, self.rules)])
+        if not self.rules:
+            entries = entries.cast("array<struct<rule_id:string,n_pass:bigint>>")
+        rows = per.select(*keys, "level", F.inline(entries), F.col("__n").alias("n_rows"))
+        return rows.select(*[F.col(k).alias(c) for k, c in zip(keys, columns)], "level", "rule_id", "n_pass",
+                           (F.col("n_rows") - F.col("n_pass")).alias("n_fail"), "n_rows", F.expr("try_divide(n_pass, n_rows)").alias("pass_rate"))
+
+    def worst(self, k: int, keys: Sequence[str], by: Sequence[str | Column] = ()) -> DataFrame:
+        """The first ``k`` failing rows of every rule: ``rule_id, rank, keys``.
+
+        First in ``by`` (names or sort expressions), then in ``keys``, which should
+        tell rows apart: then the result is the same on every run.  Each task keeps
+        at most ``k`` rows a rule before the one exchange, so a rule that a third of
+        all rows fail costs no more than another.
+        """
+        if not self.rules or k < 1:
+            names = ", ".join(quote(c) for c in keys)
+            return self._staged.where(F.lit(False)).selectExpr("cast(null as string) AS rule_id", "cast(null as int) AS rank", *([names] if names else []))
+        ids = F.filter(F.array(*[F.when(~F.col(r.flag), F.lit(r.id)) for r in self.rules]), lambda x: x.isNotNull())
+        order = [c if isinstance(c, Column) else F.col(quote(c)) for c in (*by, *keys)]
+        named = {f"__o{i}": c for i, c in enumerate(order) if not isinstance(([*by, *keys])[i], Column)}
+        sort = [F.col(f"__o{i}") if f"__o{i}" in named else c for i, c in enumerate(order)]
+        failing = self._staged.select("*", *[c.alias(n) for n, c in named.items()], F.explode(ids).alias("rule_id"))
+        place = Window.partitionBy("rule_id").orderBy(*sort)
+        ranked = failing.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+        return ranked.select("rule_id", "rank", *[F.col(quote(c)) for c in keys])
+
     def failed_count(self) -> Column:
         """Number of rules this row failed (0 for a clean row)."""
         if not self.rules:

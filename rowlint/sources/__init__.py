@@ -8,6 +8,7 @@ previews, which cap rows and truncate cells.
 
 from __future__ import annotations
 
+import tempfile
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,24 @@ def spread(df: DataFrame, parallelism: int, keys: Iterable[str] = ()) -> DataFra
     return df.repartition(parallelism, *keys) if keys else df.repartition(parallelism)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors see: ``spark.checkpoint.dir``.  Where the
+    session names none, a local master gets a temporary one and a cluster is
+    refused, since its machines share no temporary folder."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.conf.get("spark.master", "").split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="rowlint-")
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
+    """CSV that :func:`read_csv` reads back as it was, blanks around values included
+    (NULL and empty text are both an empty field, which reads as NULL)."""
+    df.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="", **options).mode(mode).csv(path)
+
+
 def write_annotated(run: CompiledPipeline, path: str, format: str = "parquet", mode: str = "overwrite",
                     partition_by: Iterable[str] | None = None) -> None:
     """The annotated rows, result map included (Parquet and ORC keep maps)."""
@@ -77,4 +96,4 @@ def write_reports(run: CompiledPipeline, path: str, keys: Iterable[str], format:
     flat(back, keys, run.rule_ids, run.results_col).write.format(format).mode(mode).save(f"{path}/flat")
 
 
-__all__ = ["dirty_customers", "read_csv", "read_table", "spread", "write_annotated", "write_reports", "write_split"]
+__all__ = ["dirty_customers", "read_csv", "read_table", "shared_folder", "spread", "write_annotated", "write_csv", "write_reports", "write_split"]

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from ..plans.compile import CompiledPipeline, quote
 from ..plans.pipeline import Pipeline
@@ -58,14 +58,21 @@ def quality_by_window(
             staged = staged.withWatermark("__event_time", watermark)
         else:
             staged = staged.withWatermark(time_col, watermark)
-    w = F.window(ts, window, slide) if slide else F.window(ts, window)
     aggs = [F.count_if(F.col(r.flag)).alias(f"p{i}") for i, r in enumerate(run.rules)]
-    per_window = staged.groupBy(w.alias("w")).agg(*aggs, F.count(F.lit(1)).alias("n"))
     entries = F.array(*[F.struct(F.lit(r.id).alias("rule_id"), F.col(f"p{i}").alias("n_pass")) for i, r in enumerate(run.rules)])
-    if not staged.isStreaming:
-        empty = F.lit(None).cast(per_window.schema["w"].dataType)
-        untimed = run.staged.where(F.col(quote(time_col)).isNull()).agg(*aggs, F.count(F.lit(1)).alias("n"))
-        per_window = per_window.unionByName(untimed.where("n > 0").select(empty.alias("w"), "*"))
+    if staged.isStreaming:
+        w = F.window(ts, window, slide) if slide else F.window(ts, window)
+        per_window = staged.groupBy(w.alias("w")).agg(*aggs, F.count(F.lit(1)).alias("n"))
+    else:
+        # one pass: untimed rows go to the window that begins with the epoch, in groups of their own
+        kind = staged.schema[time_col].dataType if watermark is None or not ntz else TimestampType()
+        epoch = F.timestamp_micros(F.lit(0)) if isinstance(kind, TimestampType) else F.lit("1970-01-01").cast(kind)
+        at = F.coalesce(ts, epoch)
+        w = F.window(at, window, slide) if slide else F.window(at, window)
+        per_window = staged.groupBy(w.alias("w"), ts.isNull().alias("untimed")).agg(*aggs, F.count(F.lit(1)).alias("n"))
+        if slide:  # several windows hold the epoch: the rows count in the last of them
+            per_window = per_window.where(~F.col("untimed") | (F.col("w.start") + F.expr(f"INTERVAL {slide}") > epoch))
+        per_window = per_window.select(F.when(~F.col("untimed"), F.col("w")).alias("w"), *[f"p{i}" for i in range(len(aggs))], "n")
     start, end = F.col("w.start"), F.col("w.end")
     if ntz and watermark is not None:
         start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
