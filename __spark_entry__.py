@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowlint import DEFAULT_REGISTRY, Param, Pipeline, SpecWarning, derive_rules, reconcile, register_check, report
-from rowlint.operators import profile_columns
+from rowlint.operators import merge_states, outlier_bounds, outlier_rules, profile_columns, profile_state, read_states
 from rowlint.sources import dirty_customers, read_csv, shared_folder, write_csv, write_reports, write_split
 from rowlint.sources.dirty import DIRTY_CUSTOMERS_SQL
 from rowlint.specs import metadata_frame, spec_path
-from rowlint.streaming.quality import quality_by_window
+from rowlint.streaming import matched_within, quality_by_window, unique_within
 
 # the training-data operators are optional: the rest works where their folder or
 # file is not there; if it is, its errors are raised
@@ -511,6 +511,103 @@ def lineitem_worst(spark, sf_dir):
     return LINEITEM.compile(_t(spark, sf_dir, "lineitem")).worst(25, ["l_orderkey", "l_linenumber"], by=[F.desc("l_extendedprice")])
 
 
+# -- JSON text, elements, quantiles, mergeable profiles ------------------------
+# props as they are, and with every kind of fault, as SQL that Spark and DuckDB both read
+PROPS = """CASE event_id % 9 WHEN 0 THEN 'oops' WHEN 1 THEN '{"k": "x"}' WHEN 2 THEN NULL WHEN 3 THEN '{"k": 7, "user": {"name": "ann", "age": 30}}'
+  WHEN 4 THEN '{"user": {"name": "bo"}}' WHEN 5 THEN '' ELSE props END"""
+PROPS_JSON = _one("dq", [
+    {"id": "ev_props_shape", "type": "check_json", "column": "props", "schema": "k int, user struct<name string, age int>"},
+    {"id": "ev_k_range", "type": "check_range", "column": "props->k", "min": 20, "max": 80},
+    {"id": "ev_user_named", "type": "check_length", "column": "props->user.name", "min_len": 3},
+])
+
+
+def events_json(spark, sf_dir):
+    return PROPS_JSON.compile(_t(spark, sf_dir, "events").withColumn("props", F.expr(PROPS))).flat(["event_id"])
+
+
+ELEMENTS = _one("dq", [
+    {"id": "emb_small", "type": "check_each", "column": "embedding", "rule": "check_range", "args": {"min": -0.25, "max": 0.25}},
+    {"id": "emb_there", "type": "check_each", "column": "embedding", "rule": "check_not_null"},
+])
+
+
+def embeddings_each(spark, sf_dir):
+    # the places of the components that are too large
+    run = ELEMENTS.compile(_t(spark, sf_dir, "embeddings"))
+    places = run.positions("emb_small", ["vec_id"]).withColumn("places", F.array_join(F.col("positions").cast("array<string>"), ","))
+    return run.flat(["vec_id"]).join(places.select("vec_id", "places"), "vec_id", "left")
+
+
+def lineitem_outliers(spark, sf_dir):
+    # range rules from exact quartiles, then run over the same table
+    li = _t(spark, sf_dir, "lineitem")
+    bounds = outlier_bounds(li, ["l_extendedprice", "l_quantity", "l_discount"], fence=0.5)
+    run = _one("dq", outlier_rules(bounds)).compile(li)
+    return run.summary().join(bounds, F.concat(F.lit("outlier_"), "column") == F.col("rule_id")).select("rule_id", "min", "max", "n_pass", "n_fail")
+
+
+def events_profile(spark, sf_dir):
+    # states by day, written, reread and merged to months; the sketches' error against exact counts
+    events = _t(spark, sf_dir, "events").withColumns({"day": F.to_date("ts"), "value": F.when(F.col("event_id") % 5 != 0, F.col("value"))})
+    path = _scratch(spark, "states")
+    profile_state(events, ["user_id", "event_type", "value"], by=["day"]).write.parquet(path)
+    states = spark.read.parquet(path).withColumn("month", F.date_format("day", "yyyy-MM"))
+    merged = read_states(merge_states(states, by=["month"], order={"user_id": "long", "value": "double"}))
+    exact = events.groupBy(F.date_format("day", "yyyy-MM").alias("month")).agg(*[F.count_distinct(c).alias(c) for c in ("user_id", "event_type", "value")])
+    exact = exact.select("month", F.expr("stack(3, 'user_id', user_id, 'event_type', event_type, 'value', value) AS (column, n_exact)"))
+    close = F.abs(F.col("n_distinct") - F.col("n_exact")) <= F.greatest(F.lit(1.0), F.col("n_exact") * 0.04)
+    return merged.join(exact, ["month", "column"]).select("month", "column", "n_rows", "n_nulls", F.col("min").try_cast("double").alias("lo"),
+                                                          F.col("max").try_cast("double").alias("hi"), "n_exact", close.alias("close")).where("column <> 'event_type'")
+
+
+# -- events judged by other events ------------------------------------------
+def _matched(events):
+    return matched_within(events, ["user_id"], "ts", F.col("event_type") == "view", F.col("event_type") == "purchase", "36 hours",
+                          watermark="1 hour" if events.isStreaming else None).select("event_id", "user_id", "status")
+
+
+def events_matched(spark, sf_dir):
+    # is a view followed by a purchase of the same user within 36 hours?
+    return _matched(_t(spark, sf_dir, "events"))
+
+
+def events_matched_stream(spark, sf_dir):
+    # the same from a stream; two events of no user, a year on, let the watermark pass all others
+    events = _t(spark, sf_dir, "events")
+    top = _scratch(spark, "events")
+    events.write.parquet(f"{top}/in")
+    late = events.agg(F.max("event_id").alias("e"), F.max("ts").alias("t")).selectExpr(
+        "e + 1 AS event_id", "t + INTERVAL 365 DAYS AS ts", "-1L AS user_id", "explode(array('purchase', 'view')) AS event_type", "0D AS value", "'' AS props")
+    late.select(events.columns).write.mode("append").parquet(f"{top}/in")
+    stream = spark.readStream.schema(events.schema).parquet(f"{top}/in")
+    _matched(stream).writeStream.format("parquet").option("path", f"{top}/out").option("checkpointLocation", f"{top}/state").trigger(
+        availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{top}/out").where("user_id >= 0")
+
+
+def _repeats(events):
+    return unique_within(events, ["user_id", "event_type"], "ts", "2 hours", order=["event_id"],
+                         watermark="1 hour" if events.isStreaming else None).select("event_id", "status")
+
+
+def events_repeats(spark, sf_dir):
+    # the same kind of event of a user again within two hours
+    return _repeats(_t(spark, sf_dir, "events"))
+
+
+def events_repeats_stream(spark, sf_dir):
+    # the same from a stream, run twice with one checkpoint: no event is counted again
+    events = _t(spark, sf_dir, "events")
+    top = _scratch(spark, "events")
+    events.write.parquet(f"{top}/in")
+    for _ in range(2):
+        stream = spark.readStream.schema(events.schema).parquet(f"{top}/in")
+        _repeats(stream).writeStream.format("parquet").option("path", f"{top}/out").option("checkpointLocation", f"{top}/state").trigger(
+            availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{top}/out")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the seven-rule customer suite over the dirty view, summarised."""
     return dq_summary(spark, SF_SMOKE)
@@ -565,6 +662,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "conversations_sequence": conversations_sequence,
         "lineitem_rollup": lineitem_rollup,
         "lineitem_worst": lineitem_worst,
+        "events_json": events_json,
+        "embeddings_each": embeddings_each,
+        "lineitem_outliers": lineitem_outliers,
+        "events_profile": events_profile,
+        "events_matched": events_matched,
+        "events_matched_stream": events_matched_stream,
+        "events_repeats": events_repeats,
+        "events_repeats_stream": events_repeats_stream,
         **(_llm.QUERIES if _llm else {}),
         **({"pipeline": _pipeline.run} if _pipeline else {}),
     }
@@ -651,6 +756,13 @@ def _suite_numeric_min_sql(n: int) -> str:
             + " UNION ALL ".join(parts) + ")")
 
 
+_MATCHED = """SELECT event_id, user_id, CASE WHEN EXISTS (SELECT 1 FROM events t WHERE t.user_id = f.user_id AND t.event_type = 'purchase'
+    AND t.ts > f.ts AND t.ts <= f.ts + INTERVAL 36 HOUR) THEN 'PASS' ELSE 'FAIL' END AS status
+FROM events f WHERE event_type = 'view'"""
+_REPEATS = """SELECT event_id, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) <= 7200000000
+    THEN 'FAIL' ELSE 'PASS' END AS status FROM events"""
+
+
 def oracle_sql() -> dict[str, str]:
     def check(pred: str, rid: str, col: str) -> str:
         return f"{D} SELECT id, {col}, {_st(pred, rid)} FROM d"
@@ -801,6 +913,29 @@ def oracle_sql() -> dict[str, str]:
         "lineitem_worst": f"""WITH s AS ({_LI}), e AS ({' UNION ALL '.join(f"SELECT l_orderkey, l_linenumber, l_extendedprice, '{rid}' AS rule_id FROM s WHERE NOT coalesce(f{i}, false)" for i, rid in enumerate(_LI_IDS, start=1))}),
             r AS (SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS rank FROM e)
             SELECT rule_id, CAST(rank AS INTEGER) AS rank, l_orderkey, l_linenumber FROM r WHERE rank <= 25""",
+        "events_json": f"""WITH e AS (SELECT event_id, {PROPS} AS props, event_id % 9 AS m FROM events),
+            j AS (SELECT event_id, m, CASE WHEN props IS NOT NULL AND json_valid(props) AND props <> '' THEN props END AS p FROM e),
+            s AS (SELECT event_id, p IS NOT NULL AND coalesce(json_type(p, '$.k') IN ('UBIGINT', 'BIGINT'), true) AS f1,
+              TRY_CAST(json_extract_string(p, '$.k') AS INTEGER) BETWEEN 20 AND 80 AS f2,
+              length(json_extract_string(p, '$.user.name')) >= 3 AS f3 FROM j)
+            SELECT event_id, {_flags(['ev_props_shape', 'ev_k_range', 'ev_user_named'])} FROM s""",
+        "embeddings_each": f"""WITH s AS (SELECT vec_id, list_filter(range(len(embedding)), lambda i: NOT coalesce(embedding[i + 1] BETWEEN CAST(-0.25 AS DOUBLE) AND CAST(0.25 AS DOUBLE), false)) AS bad,
+              len(list_filter(embedding, lambda x: x IS NULL)) = 0 AS f2 FROM embeddings)
+            SELECT vec_id, {_st('len(bad) = 0', 'emb_small')}, {_st('f2', 'emb_there')}, CASE WHEN len(bad) > 0 THEN list_aggregate(bad, 'string_agg', ',') END AS places FROM s""",
+        "lineitem_outliers": """WITH u AS (UNPIVOT (SELECT l_extendedprice, l_quantity, l_discount FROM lineitem) ON l_extendedprice, l_quantity, l_discount INTO NAME c VALUE v),
+            r AS (SELECT c, v, row_number() OVER (PARTITION BY c ORDER BY v) AS i, count(*) OVER (PARTITION BY c) AS n FROM u),
+            q AS (SELECT c, max(v) FILTER (WHERE i = CAST(ceil(0.25 * n) AS BIGINT)) AS lo, max(v) FILTER (WHERE i = CAST(ceil(0.75 * n) AS BIGINT)) AS hi FROM r GROUP BY c),
+            b AS (SELECT c, lo - (hi - lo) * CAST(0.5 AS DOUBLE) AS lo, hi + (hi - lo) * CAST(0.5 AS DOUBLE) AS hi FROM q)
+            SELECT 'outlier_' || b.c AS rule_id, b.lo AS "min", b.hi AS "max", count(*) FILTER (WHERE v BETWEEN b.lo AND b.hi) AS n_pass,
+              count(*) FILTER (WHERE NOT v BETWEEN b.lo AND b.hi) AS n_fail FROM u JOIN b ON b.c = u.c GROUP BY ALL""",
+        "events_profile": """WITH e AS (SELECT strftime(ts, '%Y-%m') AS month, user_id, CASE WHEN event_id % 5 <> 0 THEN value END AS value FROM events)
+            SELECT month, 'user_id' AS "column", count(*) AS n_rows, count(*) - count(user_id) AS n_nulls, CAST(min(user_id) AS DOUBLE) AS lo,
+              CAST(max(user_id) AS DOUBLE) AS hi, count(DISTINCT user_id) AS n_exact, true AS close FROM e GROUP BY month
+            UNION ALL SELECT month, 'value', count(*), count(*) - count(value), min(value), max(value), count(DISTINCT value), true FROM e GROUP BY month""",
+        "events_matched": _MATCHED,
+        "events_matched_stream": _MATCHED,
+        "events_repeats": _REPEATS,
+        "events_repeats_stream": _REPEATS,
         **(_llm.SQL if _llm else {}),
         **({"pipeline": _pipeline.ORACLE_SQL} if _pipeline and _pipeline.ORACLE_SQL else {}),
     }

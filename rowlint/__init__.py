@@ -7,7 +7,7 @@ that stage; reports summarise verdicts per rule or list one row per finding.
 from .functions import DEFAULT_REGISTRY, Param, Registry, RuleTypeError, register_check, register_cleanser
 from .operators import derive_rules, reconcile, reconcile_summary, report, suite_pipeline
 from .sources import read_csv, read_table, spread, write_annotated, write_reports, write_split
-from .streaming import annotate_stream, quality_by_window
+from .streaming import annotate_stream, matched_within, quality_by_window, unique_within
 from .plans import (
     FAIL,
     PASS,
@@ -38,6 +38,7 @@ __all__ = [
     "Stage",
     "annotate_stream",
     "derive_rules",
+    "matched_within",
     "quality_by_window",
     "read_csv",
     "read_table",
@@ -51,4 +52,5 @@ __all__ = [
     "register_cleanser",
     "report",
     "suite_pipeline",
+    "unique_within",
 ]

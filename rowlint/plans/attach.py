@@ -14,14 +14,14 @@ which adaptive execution can split where one key is hot.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_, or_
 from typing import Any, Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import ArrayType, DataType, DateType, NullType, NumericType, StringType, StructType, TimestampNTZType, TimestampType
 
 from ..functions.checks import RuleTypeError
 from ..functions.registry import DEFAULT_REGISTRY, Param, RuleDef
@@ -43,6 +43,10 @@ class Binding:
     table_of: Callable[[str], DataFrame]  # a reference table
     table_column: Callable[[DataFrame, str], tuple[Column, DataType]]
     fresh: Callable[[str], str]  # an unused column name
+    rule_def: Callable[[str, str], RuleDef] | None = None  # rule types by kind and name
+    positions: str | None = None  # set by a rule on elements: the column of failing positions
+    shape: tuple[str, StructType, str] | None = None  # set by a rule on JSON text: the parsed column, its type, its corrupt record
+    taken: dict[str, tuple[str, StructType, str]] = field(default_factory=dict)  # shapes so far, by column
 
     @property
     def params(self) -> dict[str, Any]:
@@ -277,6 +281,82 @@ def sequence(b: Binding) -> tuple[DataFrame, Column]:
     return out, ~any_null([*keys, b.value]) & F.col(hit).isNull()
 
 
+# -- JSON text -------------------------------------------------------------------
+def json_shape(b: Binding) -> tuple[DataFrame, Column]:
+    """PASS iff the text is a JSON object that fits ``schema`` (DDL, as in ``k int, user
+    struct<name string>``): every field that is there has its type.
+
+    The text is parsed once, permissively, into a hidden column; a record that
+    does not fit comes back as corrupt.  Later rules reach what was parsed as
+    ``column->path``.  Missing and further fields are no fault (check the path for
+    NULL); NULL, empty and blank text, arrays and scalars are FAIL.
+    """
+    if not isinstance(b.dtype, (StringType, NullType)):
+        raise RuleTypeError(f"check_json needs text, got {b.dtype.simpleString()}")
+    try:
+        shape = StructType.fromDDL(b.params["schema"])
+    except Exception as e:
+        raise RuleTypeError(f"check_json: schema {b.params['schema']!r} is no list of fields: {str(e).splitlines()[0]}") from e
+    known = b.taken.get(b.rule.column)
+    if known and known[1] == shape:
+        b.shape = known
+    else:
+        corrupt = "_corrupt_record"
+        while corrupt in shape.fieldNames():
+            corrupt = "_" + corrupt
+        name = b.fresh("json")
+        whole = StructType([*shape.fields]).add(corrupt, StringType())
+        parsed = F.from_json(b.value.cast("string"), whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+        b.df = b.df.withColumn(name, parsed)  # a column of its own, so that it is parsed once
+        b.shape = (name, shape, corrupt)
+    record = F.col(b.shape[0])
+    return b.df, record.isNotNull() & record[b.shape[2]].isNull() & F.regexp_like(b.value, F.lit(r"^\s*\{"))
+
+
+# -- elements of an array ----------------------------------------------------------
+def each(b: Binding) -> tuple[DataFrame, Column]:
+    """PASS iff the rule ``rule`` (with ``args``) passes for every element of the array,
+    or for its ``field`` where elements are structs.
+
+    A NULL element fails as a NULL value does; an empty array passes, a NULL one
+    fails.  The rule's Column is lifted into a lambda, so no row is exploded.  The
+    places of the failing elements (from 0) are kept beside the verdict.
+    """
+    p = b.params
+    if not isinstance(b.dtype, ArrayType):
+        raise RuleTypeError(f"check_each needs an array, got {b.dtype.simpleString()}")
+    rdef = b.rule_def("dq", p["rule"])
+    if rdef.attach:
+        raise RuleTypeError(f"check_each cannot lift {p['rule']}: it needs more than the element")
+    kind, path = b.dtype.elementType, [x for x in (p.get("field") or "").split(".") if x]
+    for part in path:
+        if not isinstance(kind, StructType) or part not in kind.fieldNames():
+            raise RuleTypeError(f"check_each: elements of type {b.dtype.elementType.simpleString()} have no field {p['field']!r}")
+        kind = kind[part].dataType
+    args = dict(p.get("args") or {})
+
+    def bad(x: Column) -> Column:
+        at = reduce(lambda c, f: c[f], path, x)
+        return ~F.coalesce(rdef.build(at, kind, **args), F.lit(False))
+
+    name = b.fresh("places")
+    b.df = b.df.withColumn(name, F.filter(F.transform(b.value, lambda x, i: F.when(bad(x), i)), lambda i: i.isNotNull()))
+    b.positions = name
+    return b.df, b.value.isNotNull() & ~F.exists(b.value, bad)
+
+
+def _lifted(p: dict[str, Any]) -> list[str]:
+    rdef = DEFAULT_REGISTRY.lookup("dq", p["rule"])  # a rule type of another registry is looked up at compile
+    args = p.get("args") or {}
+    if not hasattr(args, "keys"):
+        return ["check_each: args must be a mapping"]
+    if rdef is None or rdef.attach:
+        return []
+    problems = [f"check_each: {p['rule']} has no parameter {k!r}" for k in args if k not in rdef.param_names()]
+    problems += [f"check_each: {p['rule']} needs {q.name!r}" for q in rdef.params if q.required and q.name not in args]
+    return problems + (rdef.check(dict(args)) if rdef.check and not problems else [])
+
+
 def _steps(p: dict[str, Any]) -> list[str]:
     lo, hi = p.get("min_step"), p.get("max_step")
     problems = [f"check_sequence: min_step {lo} is above max_step {hi}"] if lo is not None and hi is not None and lo > hi else []
@@ -311,5 +391,7 @@ for _name, _attach, _params, _check in (
     ("check_sequence", sequence, (Param("by", "list"), Param("order", "str", required=False), Param("min_step", "number", required=False),
                                   Param("max_step", "number", required=False), Param("first", "number", required=False),
                                   Param("repeats", "any", required=False), Param("span", "number", required=False), _SALT), _steps),
+    ("check_json", json_shape, (Param("schema", "str"),), None),
+    ("check_each", each, (Param("rule", "str"), Param("args", "any", required=False), Param("field", "str", required=False)), _lifted),
 ):
     DEFAULT_REGISTRY.add(RuleDef(_name, "dq", _not_a_column, _params, _check, attach=_attach))

@@ -184,6 +184,8 @@ class CompiledPipeline:
             if not (isinstance(t, MapType) and isinstance(t.keyType, StringType) and isinstance(t.valueType, StringType)):
                 raise SpecError([f"input column {results_col!r} is {t.simpleString()}, not map<string,string>"])
         self.rules: list[CompiledRule] = []
+        self._shapes: dict[str, tuple[str, StructType, str]] = {}  # parsed JSON text, by column
+        self._places: dict[str, str] = {}  # failing positions, by rule
         self._staged = self._build(df)
 
     # -- building --------------------------------------------------------
@@ -227,6 +229,8 @@ class CompiledPipeline:
                 exprs = self._cleanse_exprs(stage, schema, problems, types)
                 if exprs and not problems:
                     df = df.withColumns(exprs)
+                    for rule in stage.rules:  # the text that was parsed is another one now
+                        self._shapes.pop(rule.column, None)
                     if any(len(k) > 1 for k in types):
                         schema = StructType([f for f in df.schema.fields if f.name in set(schema.fieldNames())])
                     else:
@@ -237,6 +241,8 @@ class CompiledPipeline:
         if not problems:
             pats = [(r.id, r.kwargs()["pattern"]) for st in self.spec.stages if st.type == "dq"
                     for r in st.rules if r.type == "check_regex"]
+            pats += [(r.id, r.kwargs()["args"]["pattern"]) for st in self.spec.stages if st.type == "dq"
+                     for r in st.rules if r.type == "check_each" and r.kwargs()["rule"] == "check_regex"]
             if pats:
                 problems.extend(invalid_patterns(df.sparkSession, pats))
         if problems:
@@ -274,10 +280,23 @@ class CompiledPipeline:
             at, kind = resolve(schema, name, self.case_sensitive)
             return column_at(at), kind
 
-        return rdef.attach(Binding(df, rule, column_at(path), dtype, lambda c: found(schema, c), table_of,
-                                   lambda t, c: found(t.schema, c), fresh))
+        b = Binding(df, rule, column_at(path), dtype, lambda c: found(schema, c), table_of, lambda t, c: found(t.schema, c), fresh,
+                    self._rule_def, taken=self._shapes)
+        df, pred = rdef.attach(b)
+        if b.positions:
+            self._places[rule.id] = b.positions
+        if b.shape:
+            self._shapes[rule.column] = b.shape
+        return df, pred
 
     def _target(self, schema: StructType, name: str) -> tuple[list[str], DataType]:
+        if "->" in name and _find(schema, name, self.case_sensitive) is None:
+            base, inner = (x.strip() for x in name.split("->", 1))
+            if base not in self._shapes:
+                raise SpecError([f"column {name!r}: no check_json rule before it tells the shape of {base!r}"])
+            hidden, shape, _ = self._shapes[base]
+            path, dtype = resolve(shape, inner, self.case_sensitive)
+            return [hidden, *path], dtype
         path, dtype = resolve(schema, name, self.case_sensitive)
         if path[0] == self.results_col:
             raise SpecError([f"rules cannot target the result column {self.results_col!r}"])
@@ -289,6 +308,8 @@ class CompiledPipeline:
         chains: dict[tuple[str, ...], tuple[Column, DataType]] = {}
         for rule in stage.rules:
             try:
+                if "->" in rule.column:
+                    raise SpecError([f"cannot cleanse {rule.column}: a path in JSON text"])
                 path, dtype = self._target(schema, rule.column)
                 key = tuple(path)
                 expr, cur = chains.get(key, (column_at(path), dtype))
@@ -468,6 +489,14 @@ class CompiledPipeline:
         ranked = failing.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
         return ranked.select("rule_id", "rank", *[F.col(quote(c)) for c in keys])
 
+    def positions(self, rule_id: str, keys: Iterable[str]) -> DataFrame:
+        """``keys, positions``: of every row that fails the ``check_each`` rule, the
+        places of its failing elements, from 0 (NULL where the array is NULL)."""
+        if rule_id not in self._places:
+            raise SpecError([f"no check_each rule {rule_id!r} in this pipeline"])
+        flag = next(r.flag for r in self.rules if r.id == rule_id)
+        return self._staged.where(~F.col(flag)).select(*[F.col(quote(k)) for k in keys], F.col(self._places[rule_id]).alias("positions"))
+
     def failed_count(self) -> Column:
         """Number of rules this row failed (0 for a clean row)."""
         if not self.rules:

@@ -36,13 +36,21 @@ class SpecWarning(UserWarning):
     """A spec part that was skipped or will behave surprisingly."""
 
 
+class _Pairs(tuple):
+    """A frozen mapping: its sorted items."""
+
+
 def _freeze(v: Any) -> Any:
+    if isinstance(v, Mapping):
+        return _Pairs(sorted((k, _freeze(x)) for k, x in v.items()))
     if isinstance(v, list):
         return tuple(_freeze(x) for x in v)
     return v
 
 
 def _thaw(v: Any) -> Any:
+    if isinstance(v, _Pairs):
+        return {k: _thaw(x) for k, x in v}
     if isinstance(v, tuple):
         return [_thaw(x) for x in v]
     return v

@@ -1,0 +1,147 @@
+"""JSON text, elements of arrays, exact quantiles, mergeable profiles."""
+
+import contextlib
+import io
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rowlint import Pipeline, SpecError
+from rowlint.operators import exact_quantiles, merge_states, outlier_bounds, outlier_rules, profile_state, read_states
+
+
+def dq(*rules):
+    return Pipeline({"stages": [{"name": "s", "type": "dq", "rules": list(rules)}]}, on_unknown="error")
+
+
+SHAPE = {"id": "shape", "type": "check_json", "column": "j", "schema": "k int, u struct<name string, tags array<string>>"}
+TEXTS = ['{"k": 1}', '{"k": "x"}', "oops", None, "", "  ", "[]", '[{"k": 1}]', "5", "null", "{}", '{"k": null, "more": [1]}', '{"u": {"name": "ann", "tags": ["a"]}}',
+         '{"u": {"name": 3, "tags": "a"}}', ' {"k": 2} ', '{"k": 1', '{"k": 99999999999}']
+
+
+def test_json_shapes(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "i int, j string")
+    p = dq(SHAPE, {"id": "k", "type": "check_min", "column": "j->k", "value": 2}, {"id": "name", "type": "check_regex", "column": "j->u.name", "pattern": "^a"},
+           {"id": "tags", "type": "check_each", "column": "j->u.tags", "rule": "check_length", "args": {"min_len": 1}})
+    rows = {r["i"]: r for r in p.compile(df).flat(["i"]).collect()}
+    assert [TEXTS[i] for i, r in sorted(rows.items()) if r["shape"] == "PASS"] == ['{"k": 1}', "{}", '{"k": null, "more": [1]}', '{"u": {"name": "ann", "tags": ["a"]}}', ' {"k": 2} ']
+    assert [TEXTS[i] for i, r in sorted(rows.items()) if r["k"] == "PASS"] == [' {"k": 2} ']
+    assert [TEXTS[i] for i, r in sorted(rows.items()) if r["name"] == "PASS"] == ['{"u": {"name": "ann", "tags": ["a"]}}']
+    assert rows[12]["tags"] == "PASS" and rows[0]["tags"] == "FAIL"
+    assert p.run(df).columns == ["i", "j", "_dq_results"] and p.compile(df.limit(0)).flat(["i"]).collect() == []
+
+
+def test_json_is_parsed_once_for_all_rules(spark):
+    df = spark.range(0, 1000, 1, 4).selectExpr("id AS i", "'{\"k\": 5}' || repeat(' ', int(id % 3)) AS j")
+    p = dq(SHAPE, *[{"id": f"k{n}", "type": "check_min", "column": "j->k", "value": n} for n in range(4)])
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        p.compile(df).flat(["i"]).explain("extended")
+    plan = buf.getvalue()
+    physical = plan[plan.index("== Physical Plan =="):]
+    assert physical.count("from_json") == 1
+
+
+def test_json_paths_need_a_shape(spark):
+    df = spark.createDataFrame([(1, '{"k": 1}', 5)], "i int, j string, n int")
+    k = {"id": "k", "type": "check_min", "column": "j->k", "value": 1}
+    for bad in (dq(k), dq(k, SHAPE), dq(SHAPE, {**k, "column": "j->nope"}), dq({**SHAPE, "column": "n"}), dq({**SHAPE, "schema": "k wat"})):
+        with pytest.raises(SpecError):
+            bad.compile(df)
+    clean = {"name": "c", "type": "cleanse", "rules": [{"type": "clean_lowercase", "column": "j"}]}
+    first = {"name": "a", "type": "dq", "rules": [SHAPE]}
+    with pytest.raises(SpecError):  # the text has changed since it was parsed
+        Pipeline({"stages": [first, clean, {"name": "b", "type": "dq", "rules": [k]}]}).compile(df)
+    again = Pipeline({"stages": [first, clean, {"name": "b", "type": "dq", "rules": [{**SHAPE, "id": "again"}, k]}]})
+    assert again.compile(df).flat(["i"]).first().asDict() == {"i": 1, "shape": "PASS", "again": "PASS", "k": "PASS"}
+    assert Pipeline.from_yaml(again.spec.to_yaml()).spec == again.spec
+
+
+def test_every_element(spark):
+    rows = [(1, [1, 2, 3]), (2, [1, 9, 3, 8]), (3, []), (4, None), (5, [1, None]), (6, [None])]
+    df = spark.createDataFrame(rows, "i int, a array<int>")
+    p = dq({"id": "small", "type": "check_each", "column": "a", "rule": "check_max", "args": {"value": 5}}, {"id": "set", "type": "check_each", "column": "a", "rule": "check_in_set", "args": {"values": [1, 2, 3]}})
+    run = p.compile(df)
+    assert {r["i"]: (r["small"], r["set"]) for r in run.flat(["i"]).collect()} == {
+        1: ("PASS", "PASS"), 2: ("FAIL", "FAIL"), 3: ("PASS", "PASS"), 4: ("FAIL", "FAIL"), 5: ("FAIL", "FAIL"), 6: ("FAIL", "FAIL")}
+    assert {r["i"]: r["positions"] for r in run.positions("small", ["i"]).collect()} == {2: [1, 3], 4: None, 5: [1], 6: [0]}
+    assert Pipeline.from_yaml(p.spec.to_yaml()).spec == p.spec
+    with pytest.raises(SpecError):
+        run.positions("nope", ["i"])
+
+
+def test_every_field_of_structs(spark):
+    df = spark.sql("SELECT 1 AS i, array(named_struct('n', 'ab', 'p', named_struct('q', 1)), named_struct('n', 'x', 'p', named_struct('q', 7))) AS a")
+    rule = {"id": "r", "type": "check_each", "column": "a", "rule": "check_length", "args": {"min_len": 2}, "field": "n"}
+    run = dq(rule, {**rule, "id": "q", "rule": "check_max", "args": {"value": 3}, "field": "p.q"}).compile(df)
+    assert run.positions("r", ["i"]).first()["positions"] == [1] and run.positions("q", ["i"]).first()["positions"] == [1]
+    for bad in ({**rule, "field": "z"}, {**rule, "column": "i"}, {**rule, "rule": "check_unique", "args": {}}):
+        with pytest.raises(SpecError):
+            dq(bad).compile(df)
+    for bad in ({**rule, "args": {"nope": 1}}, {**rule, "rule": "check_max", "args": {}}, {**rule, "args": 5}):
+        with pytest.raises(SpecError):
+            dq(bad)
+    with pytest.raises(SpecError):
+        dq({**rule, "rule": "check_regex", "args": {"pattern": "["}}).compile(df)
+
+
+def plain(values, p):
+    v = sorted(x for x in values if x is not None and x == x)
+    return v[max(1, math.ceil(p * len(v))) - 1] if v else None
+
+
+@pytest.mark.parametrize("few, accuracy", [(4096, 10000), (3, 100), (0, 20)])
+def test_exact_quantiles(spark, few, accuracy):
+    random.seed(6)
+    shapes = [
+        [random.gauss(0, 1) for _ in range(700)], [10.0 ** random.uniform(-300, 300) * random.choice([1, -1]) for _ in range(500)],
+        [random.choice([1.0, 2.0]) for _ in range(300)], [5.0] * 200 + [None, float("nan")], [float("inf"), -1.0, 1e308, -1e308, 0.0], [None] * 4, []]
+    width = max(map(len, shapes))
+    df = spark.createDataFrame([tuple(s[i] if i < len(s) else None for s in shapes) for i in range(width)], ", ".join(f"c{i} double" for i in range(len(shapes)))).repartition(5)
+    probs = [0, 0.01, 0.25, 0.5, 0.75, 0.99, 1]
+    got = {(r["column"], r["prob"]): r["value"] for r in exact_quantiles(df, df.columns, probs, few=few, accuracy=accuracy).collect()}
+    big = 1.7976931348623157e308
+    for i, s in enumerate(shapes):
+        for p in probs:
+            want = plain(s, p)
+            assert got[f"c{i}", p] == (want if want is None or abs(want) != math.inf else math.copysign(big, want)), (i, p)
+
+
+def test_outlier_rules(spark):
+    df = spark.range(0, 1001).selectExpr("id AS v", "cast(null as double) AS none", "CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS hot")
+    bounds = outlier_bounds(df, ["v", "none", "hot"])
+    assert {r["column"]: (r["min"], r["max"], r["n"]) for r in bounds.collect()}["v"] == (250 - 750, 750 + 750, 1001)
+    rules = outlier_rules(bounds)
+    assert [r["column"] for r in rules] == ["hot", "v"]
+    assert dq(*rules).compile(df).summary().where("rule_id = 'outlier_v'").first()["n_fail"] == 0
+    for bad in ("s string", "s decimal(5,1)"):
+        with pytest.raises(SpecError):
+            exact_quantiles(spark.createDataFrame([], bad), ["s"], [0.5])
+    with pytest.raises(SpecError):
+        exact_quantiles(spark.range(1).selectExpr("(1L << 60) + 1 AS v"), ["v"], [0.5])
+    with pytest.raises(ValueError):
+        exact_quantiles(df, ["v"], [1.5])
+
+
+def test_profiles_merge_to_the_profile_of_all_rows(spark, tmp_path):
+    df = spark.range(0, 30000, 1, 8).selectExpr("id % 30 AS day", "CASE WHEN id % 3 = 0 THEN 1 ELSE id % 9000 END AS hot", "CASE WHEN id % 4 <> 0 THEN id / 7 END AS v", "id % 7 AS month")
+    kinds = {"hot": "long", "v": "double"}
+    profile_state(df, ["hot", "v"], by=["day", "month"]).write.parquet(str(tmp_path / "s"))
+    merged = {r["column"]: r.asDict() for r in read_states(merge_states(spark.read.parquet(str(tmp_path / "s")), order=kinds)).collect()}
+    whole = {r["column"]: r.asDict() for r in read_states(profile_state(df, ["hot", "v"])).collect()}
+    near = {c: (merged[c].pop("n_distinct"), whole[c].pop("n_distinct")) for c in merged}
+    assert merged == whole and all(abs(a - b) <= 0.04 * b for a, b in near.values())
+    merged = {c: {**merged[c], "n_distinct": near[c][0]} for c in merged}
+    exact = df.agg(F.count_distinct("hot").alias("hot"), F.count_distinct("v").alias("v")).first()
+    for c in ("hot", "v"):
+        assert abs(merged[c]["n_distinct"] - exact[c]) <= 0.04 * exact[c]
+    assert (merged["hot"]["min"], merged["hot"]["max"], merged["v"]["n_nulls"], merged["v"]["n_rows"]) == ("0" if df.where("hot = 0").count() else "1", "8999", 7500, 30000)
+    by_month = merge_states(spark.read.parquet(str(tmp_path / "s")), by=["month"], order=kinds)
+    assert by_month.count() == 14 and by_month.agg(F.sum("n_rows")).first()[0] == 60000
+    empty = read_states(profile_state(df.limit(0), ["v"])).collect()
+    assert [(r["n_rows"], r["n_nulls"], r["min"], r["n_distinct"]) for r in empty] == [(0, 0, None, 0)]
+    assert profile_state(df.limit(0), ["v"], by=["day"]).collect() == []
+    with pytest.raises(SpecError):
+        profile_state(spark.sql("SELECT array(1) AS a"), ["a"])
