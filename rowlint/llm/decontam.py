@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from ._common import col
+from ._common import col, written
 
 RATE = 0.08
 BLOCK_CHARS = 4_000_000
@@ -157,13 +157,12 @@ def _matches(items: list[tuple[int, str]], rate: float, text: Column) -> Column:
     return find(text)
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
-    rows = items.select(col(id_col).cast("long").alias("i"), col(text_col).alias("t")).where("i is not null and t is not null").distinct()
+def numbered(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> tuple[DataFrame, int]:
+    """The distinct items in the shared folder, each with the number of its block, and how many blocks there are."""
+    rows = written(items.select(col(id_col).cast("long").alias("i"), col(text_col).alias("t")).where("i is not null and t is not null").distinct(), "items")
     size = rows.agg(F.sum(F.char_length("t")).alias("s")).first()["s"] or 0
     n = 1 if size <= block_chars else -(-2 * size // block_chars)
-    for b in range(n):
-        block = rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b) if n > 1 else rows
-        yield sorted((r["i"], r["t"]) for r in block.collect())
+    return rows.withColumn("b", F.pmod(F.xxhash64("i", "t"), F.lit(n))), n
 
 
 def with_matches(docs: DataFrame, items: DataFrame, out: str = "matches", rate: float = RATE, text_col: str = "text",
@@ -179,20 +178,33 @@ def with_matches(docs: DataFrame, items: DataFrame, out: str = "matches", rate:
     id match nothing; items that repeat an id are each looked for, and each
     found one is an entry.  No items: no entries.  All rows and other columns
     stay; a column named ``out`` is replaced.
+
+    The items lie in the shared folder in blocks of about ``block_chars`` characters.
+    Each block is a pass of its own over the texts, written before the next: no
+    plan, worker or moment on the driver holds more than one.
     """
-    found = None
-    for block in _blocks(items, item_id_col, item_text_col, block_chars):
-        hits = _matches(block, rate, F.coalesce(col(text_col), F.lit("")))
-        found = hits if found is None else F.concat(found, hits)
-    return docs.withColumn(out, F.array_sort(found))
+    rows, n = numbered(items, item_id_col, item_text_col, block_chars)
+    found = "found"
+    while found in docs.columns or found == out:
+        found += "_"
+    done = docs.withColumn(found, F.array().cast(HITS))
+    for b in range(n):
+        block = sorted((r["i"], r["t"]) for r in rows.where(F.col("b") == b).select("i", "t").collect())
+        done = done.withColumn(found, F.concat(found, _matches(block, rate, F.coalesce(col(text_col), F.lit("")))))
+        if b < n - 1:
+            done = written(done, f"pass-{b}")
+    return done.withColumn(out, F.array_sort(found)).drop(found)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows whose text holds a benchmark item."""
+    """``docs`` without the rows whose text holds a benchmark item, with or without an id."""
     name = "matches"
     while name in docs.columns:
         name += "_"
-    return with_matches(docs, items, name, **options).where(F.size(name) == 0).drop(name)
+    text = options.pop("item_text_col", "text")
+    options.pop("item_id_col", None)
+    named = items.select(F.xxhash64(col(text)).alias("i"), col(text).alias("t")).where("t is not null")
+    return with_matches(docs, named, name, item_id_col="i", item_text_col="t", **options).where(F.size(name) == 0).drop(name)
 
 
 def op7_decontamination(spark, sf_dir):
