@@ -40,6 +40,7 @@ SHARD = 1 << 20  # tokens after which a shard is closed
 BUCKET = 1 << 21
 BLOCK = 4 << 20  # bytes of one text that are split into words at a time
 LID_BITS = 22
+SALTS = 16
 SHARD_ROWS = "kind string, shard long, lid int, lang string, word string, c long, tokens binary, n long, carry int"
 GRAMS = "a long, b long, c long, f long"
 _CUTS = b"\t,;:!?\n\x0b\x0c\r"
@@ -345,8 +346,11 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                                  F.struct(F.lit(2).alias("k"), F.col("f_ab").alias("l"), F.col("f_c").alias("r"))).alias("cuts"))
     both = two.unionAll(three).withColumnRenamed("count", "a")
     scored = both.select("lang", "phrase", "a", F.expr(f"array_min(transform(cuts, x -> struct({_SCORE.format(l='x.l', r='x.r')} AS score, x.k AS k, x.l AS l, x.r AS r)))").alias("cut"))
-    place = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score").withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    rows = scored.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).alias("salt"))
+    # first within a language's salts, so that no task gets more than SALTS times top rows, however many tasks there are
+    near = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("rank") <= top)
+    ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.join(sizes_by_lang, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
