@@ -13,6 +13,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowlint.llm import decontam, line_dedup, mixing, near_dedup, toxicity
 from rowlint.llm._common import shared_dir
@@ -35,9 +36,16 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(docs)
-    names = {"domain", "tokens", "copies"} - set(docs.columns)
-    return mixed.select("row.*", *sorted(names))
+    """The chosen documents with ``copies``, ``domain`` and ``tokens``, always the computed ones;
+    columns of these names that the documents bring are kept as ``input_copies`` and so on."""
+    made = ["copies", "domain", "tokens"]
+    kept = []
+    for c in docs.columns:
+        name = c
+        while name in made or (name != c and name in docs.columns):
+            name = f"input_{name}"
+        kept.append(F.col("row").getField(c).alias(name))
+    return mixing.mix(docs).select(*kept, *made)
 
 
 STAGES = [
