@@ -34,10 +34,10 @@ from rowlint.sources.dirty import DIRTY_CUSTOMERS_SQL
 from rowlint.specs import metadata_frame, spec_path
 from rowlint.streaming import matched_within, quality_by_window, unique_within
 
-# the training-data operators are optional: the rest works where their folder or
-# file is not there; if it is, its errors are raised
+# the training-data operators are optional: the rest works where their files are
+# not there; if they are, their errors are raised
 _llm = _pipeline = None
-if os.path.isdir(os.path.join(_HERE, "rowlint", "llm")):
+if os.path.exists(os.path.join(_HERE, "rowlint", "llm", "queries.py")):
     from rowlint.llm import queries as _llm
 
     if os.path.exists(os.path.join(_HERE, "corpus_pipeline.py")):
