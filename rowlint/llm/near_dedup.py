@@ -18,12 +18,15 @@ largest component are compared with leaders of other components: each with at
 most ``FIRST`` and then ``PARTNERS`` a round, those first that it meets in most
 buckets.  Links join nodes into components; a bucket takes part as long as the round
 before added a link to one of its nodes, and the rounds end with the first that
-adds none (or after ``ROUNDS``).  So the comparisons grow with the number of texts, however many
+adds none (or after ``ROUNDS``).  So their comparisons grow with the number of texts, however many
 of them share a bucket.
 
-In a group of texts that are nearly all below the threshold to each other a link
-can stay unseen; ``exhaustive`` then compares every pair of different components
-that shares a bucket, in blocks of bounded size.  Texts of few shingles get
+The rounds only save work: a link can stay unseen in them.  After them every pair of
+different components that shares a bucket is tested (``exhaustive``), in blocks of
+bounded size, each pair in the first bucket that it shares.  A pair goes on to the
+alignment unless the shingle counts alone, folded to ``BINS`` numbers a text, put it
+below the threshold; that bound drops no link.  So the result is that of aligning
+every pair that shares a bucket.  Texts of few shingles get
 sketches of a lower order besides, since an edit changes a larger part of them.
 Hot buckets and hot classes are dealt by (key, salt) and their leaders found by
 a salted minimum.
@@ -49,12 +52,13 @@ ORDER = 5
 BANDS = 36
 SHORT = 40  # a text of at most so many shingles is sketched by these too
 SHORT_ORDER, SHORT_BANDS = 2, 20
-ROUNDS = 6
+ROUNDS = 2
 LEADERS = 3  # of a bucket, in a round
 FIRST = 4  # partners of a node in the first round, where comparisons of near copies nearly all link
 PARTNERS = 16  # of a node, in a later round
 COMMON = 512  # places of an item in a text
-BLOCK = 64  # nodes of a bucket that meet another block in one task, if exhaustive
+BLOCK = 512  # nodes of a bucket that meet another block in one task, when all pairs are tested
+BINS = 1024  # numbers that a text's shingle counts are folded to
 SALTS = 64
 SCAN = "uid long, doc_id long, sig binary, n int, fresh boolean, sk array<long>"
 _U = np.uint64
@@ -272,7 +276,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                     bands: int = BANDS, order: int = ORDER, words: int = WORDS, rounds: int = ROUNDS, partners: int = PARTNERS,
-                    exhaustive: bool = False, salts: int = SALTS) -> DataFrame:
+                    exhaustive: bool = True, salts: int = SALTS) -> DataFrame:
     """``doc_id, class_id`` for every row of ``docs``.
 
     ``class_id`` is the smallest id of the rows linked to this one, directly or
@@ -284,8 +288,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id.  Rows that repeat an id are compared by their own text.  An empty table
     gives an empty result.  Other columns are not read.
 
-    ``rounds`` and ``partners`` bound the comparisons of a text; ``exhaustive``
-    adds all others of texts that share a bucket and are not joined yet.
+    ``rounds`` and ``partners`` bound the comparisons of a text in the rounds; all
+    others of texts that share a bucket and are not joined yet follow, unless
+    ``exhaustive`` is off.
     """
     rows = docs.select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     docs_text = rows.select("text")
@@ -316,12 +321,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         edges = links if edges is None else edges.union(links)
         tested = pairs if tested is None else tested.union(pairs)
         labels = _joined(labels, links, f"labels-{r}")
+    labels = labels.select("uid", "label") if edges is None else components(edges, "components")
     if exhaustive:
-        pairs = _every(buckets.join(labels, "uid"), threshold)
-        pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs-all")
+        pairs = written(_every(buckets, labels, nodes, seqs, threshold), "pairs-all")
         links = written(_links(pairs, seqs, threshold), "links-all")
-        edges = links if edges is None else edges.union(links)
-    labels = labels.select("uid", "label") if edges is None else components(edges, "components")
+        if not links.isEmpty():
+            labels = components(links if edges is None else edges.union(links), "components-all")
     # every row to its node by text, to its component, to the component's smallest id
     rows = scan.select("doc_id", F.col("sig").alias("k"), F.pmod("uid", F.lit(salts)).cast("int").alias("s"), "uid")
     # a class's node is its smallest uid: that row is always fresh
@@ -374,16 +379,85 @@ def _starred(rows: DataFrame, r: int, partners: int, threshold: float) -> DataFr
     return pairs.select(F.least("uid", "lead").alias("a"), F.greatest("uid", "lead").alias("b")).distinct()
 
 
-def _every(rows: DataFrame, threshold: float) -> DataFrame:
-    """All pairs that share a bucket across two components: blocks of a bucket's nodes meet two by two."""
-    found = _by_salt(rows, c=(F.count, F.lit(1)), lo=(F.min, "label"), hi=(F.max, "label")).where("lo < hi")
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    dealt = rows.select("uid", "n", "label", "k", "s").join(found.select("k", "s", blocks.alias("blocks")), ["k", "s"])
-    dealt = dealt.withColumn("g", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
-    left = dealt.select("k", F.col("g").alias("i"), F.explode(F.sequence(F.col("g"), F.col("blocks") - 1)).alias("j"), F.col("uid").alias("ua"), F.col("n").alias("na"), F.col("label").alias("la"))
-    right = dealt.select("k", F.explode(F.sequence(F.lit(0), F.col("g"))).alias("i"), F.col("g").alias("j"), F.col("uid").alias("ub"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    pairs = left.join(right, ["k", "i", "j"]).where((F.col("la") != F.col("lb")) & ((F.col("i") < F.col("j")) | (F.col("ua") < F.col("ub")))).where(_alike("na", "nb", threshold))
-    return pairs.select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct()
+def _every(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
+    """All pairs that share a bucket across two components, but those that their shingle counts rule out.
+
+    Blocks of a bucket's nodes meet two by two; nodes of its largest component do not meet each other.
+    """
+    at = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size")).join(labels, "label")
+    # a node that no link has reached is its own component
+    rows = buckets.join(at, "uid", "left").select("uid", "n", "k", "s", F.coalesce("label", "uid").alias("label"), F.coalesce("size", F.lit(1)).alias("size"))
+    rows = rows.withColumn("home", F.struct("size", "label"))
+    mixed = _by_salt(rows, c=(F.count, F.lit(1)), lo=(F.min, "label"), hi=(F.max, "label"), top=(F.max, "home")).where("lo < hi")
+    rows = rows.join(mixed.select("k", "s", "c", F.col("top.label").alias("top")), ["k", "s"])
+    rows = written(rows.select("uid", "n", "k", "s", "label", "c", (F.col("label") == F.col("top")).cast("long").alias("inside")), "mixed")
+    inner, one = _by_salt(rows, inner=(F.sum, "inside")), F.col("c") <= BLOCK
+    outer = F.when(one, 1).otherwise(F.ceil((F.col("c") - F.col("inner")) / BLOCK)).cast("int")  # blocks of nodes outside
+    rows = rows.join(inner, ["k", "s"]).withColumns({"outer": outer, "of_top": F.when(one, 0).otherwise(F.ceil(F.col("inner") / BLOCK)).cast("int")})
+    dealt = F.xxhash64("uid")
+    block = F.when(one, 0).when(F.col("inside") == 1, F.col("outer") + F.expr("pmod(xxhash64(uid), greatest(of_top, 1))")).otherwise(F.pmod(dealt, F.col("outer")))
+    rows = rows.withColumn("g", block.cast("int"))
+    counted = nodes.select("uid", "sk").join(seqs.mapInPandas(_folded, "uid long, bins binary"), "uid")
+    rows = rows.select("uid", "n", "k", "label", "g", "outer", "of_top").join(counted, "uid")
+    others = F.sequence(F.lit(0), F.when(F.col("g") >= F.col("outer"), F.col("outer")).otherwise(F.col("outer") + F.col("of_top")) - 1)
+    rows = rows.select("uid", "n", "k", "label", "g", "sk", "bins", F.explode(others).alias("o"))
+    rows = rows.select("k", F.least("g", "o").alias("i"), F.greatest("g", "o").alias("j"), "g", "uid", "n", "label", "sk", "bins")
+    return rows.repartition("k", "i", "j").sortWithinPartitions("k", "i", "j").mapInPandas(_meet(threshold), "a long, b long")
+
+
+def _folded(batches):
+    """Shingle counts folded to ``BINS`` numbers: what they differ by is at most what the texts differ by."""
+    for pdf in batches:
+        bins = [np.minimum(np.bincount(np.frombuffer(x, np.uint32) % BINS, minlength=BINS), 255).astype(np.uint8).tobytes() for x in pdf["seq"]]
+        yield pd.DataFrame({"uid": pdf["uid"], "bins": bins})
+
+
+def _meet(threshold):
+    def meet(batches):
+        rest = None
+        for pdf in batches:
+            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            key = pdf[["k", "i", "j"]].to_numpy()
+            ends = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
+            found = [_possible(pdf.iloc[lo:hi], threshold) for lo, hi in zip(np.r_[0, ends[:-1]], ends, strict=True)] if len(ends) else []
+            rest = pdf.iloc[ends[-1]:] if len(ends) else pdf  # the last two blocks may go on: bounded rows
+            if found:
+                yield pd.concat(found)
+        if rest is not None and len(rest):
+            yield _possible(rest, threshold)
+
+    return meet
+
+
+def _possible(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Pairs of two blocks (or in one) of a bucket, in different components, first met here, that can reach the threshold."""
+    share = (1 - threshold) / (1 + threshold)  # two texts may differ by this part of their shingles
+    k, i, j = (rows[c].iat[0] for c in ("k", "i", "j"))
+    uid, n, label, g = (rows[c].to_numpy() for c in ("uid", "n", "label", "g"))
+    width = max(map(len, rows["sk"]))
+    sk = np.repeat(~uid[:, None], width, 1)  # where a longer text has no sketch, equal to none
+    for r, x in enumerate(rows["sk"]):
+        sk[r, :len(x)] = x
+    band = int(np.argmax((sk == k).all(0)))
+    bins = np.frombuffer(b"".join(rows["bins"]), np.uint8).reshape(len(rows), -1)
+    left, right = np.flatnonzero(g == i), np.flatnonzero(g == j)
+    pairs = []
+    for lo in range(0, len(left), 64):
+        a = left[lo:lo + 64, None]
+        ok = (label[a] != label[right]) & (np.abs(n[a] - n[right]) <= share * (n[a] + n[right]) + 1e-6)
+        if i == j:
+            ok &= a < right
+        for b in range(band):  # met before
+            ok &= sk[a, b] != sk[right, b]
+        x, y = np.nonzero(ok)
+        x, y = a[x, 0], right[y]
+        for at in range(0, len(x), 1024):
+            p, q = x[at:at + 1024], y[at:at + 1024]
+            differ = (np.maximum(bins[p], bins[q]) - np.minimum(bins[p], bins[q])).sum(1, dtype=np.int64)
+            can = differ <= share * (n[p] + n[q]) + 1e-6
+            pairs.append((uid[p[can]], uid[q[can]]))
+    a, b = (np.concatenate([p[z] for p in pairs] or [np.zeros(0, np.int64)]) for z in (0, 1))
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
 def _links(pairs: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:

@@ -153,6 +153,30 @@ def test_class_links_in_a_group_around_the_threshold(spark, changes):
     assert same_class(got) >= 0.9 * same_class(want) > 0
 
 
+@pytest.mark.parametrize("block", [7, 512])
+def test_no_link_is_lost_in_a_group_around_the_threshold(spark, monkeypatch, block):
+    """Groups whose pairs are nearly all below the threshold, beside one that has a large component."""
+    monkeypatch.setattr(N, "BLOCK", block)
+    made = group(250, (3,)) + group(150, (2, 3), seed=4) + group(60, (1,), words=30, seed=5)
+    rows = [(i * 7 % 1000, t) for i, t in enumerate(made)]
+    for query in (N.near_duplicates, lambda docs: N.near_duplicates(docs, rounds=0)):
+        got = sorted(tuple(r) for r in query(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+        assert got == sorted(zip((d for d, _ in rows), brute(rows), strict=True))
+    kept = [r["doc_id"] for r in N.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(kept) == sorted({c for _, c in got})
+
+
+def test_folded_counts_rule_out_no_link():
+    random.seed(9)
+    for i in range(200):
+        a = [random.randrange(40) for _ in range(random.randint(1, 90))] * random.choice([1, 1, 8])
+        b = [x for x in a if random.random() > 0.1]
+        x, y = np.array(a, np.uint32), np.array(b, np.uint32)
+        bins = next(N._folded([N.pd.DataFrame({"uid": [1, 2], "seq": [x.tobytes(), y.tobytes()]})]))["bins"]
+        rows = N.pd.DataFrame({"k": 5, "i": 0, "j": i % 2, "g": [0, i % 2], "uid": [1, 2], "n": [len(a), len(b)], "label": [1, 2], "sk": [[5], [5]], "bins": bins})
+        assert len(N._possible(rows, 0.8)) or not N.similarity(x, y)
+
+
 @pytest.mark.parametrize("changes", [3, 4])
 def test_comparisons_of_a_text_do_not_grow_with_its_group(spark, monkeypatch, changes):
     per_text = {}
