@@ -321,12 +321,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         edges = links if edges is None else edges.union(links)
         tested = pairs if tested is None else tested.union(pairs)
         labels = _joined(labels, links, f"labels-{r}")
-    labels = labels.select("uid", "label") if edges is None else components(edges, "components")
+    labels = labels.select("uid", "label") if edges is None else _merged(labels, edges, "components")
     if exhaustive:
         pairs = written(_every(buckets, labels, nodes, seqs, threshold), "pairs-all")
         links = written(_links(pairs, seqs, threshold), "links-all")
         if not links.isEmpty():
-            labels = components(links if edges is None else edges.union(links), "components-all")
+            labels = _merged(labels, links, "components-all")
     # every row to its node by text, to its component, to the component's smallest id
     rows = scan.select("doc_id", F.col("sig").alias("k"), F.pmod("uid", F.lit(salts)).cast("int").alias("s"), "uid")
     # a class's node is its smallest uid: that row is always fresh
@@ -361,6 +361,15 @@ def _joined(labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
     return written(now.join(sizes, "label").select("uid", "label", "size", "moved"), f"{name}-sized")
 
 
+def _merged(labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """Labels after ``links``, exactly: components of the labels that they join, each pair of labels once."""
+    at = labels.select("uid", "label")
+    ends = links.join(at.select(F.col("uid").alias("a"), F.col("label").alias("la")), "a").join(at.select(F.col("uid").alias("b"), F.col("label").alias("lb")), "b")
+    pairs = ends.where("la <> lb").select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct()
+    up = components(pairs, name).select(F.col("uid").alias("label"), F.col("label").alias("up"))
+    return written(at.join(up, "label", "left").select("uid", F.coalesce("up", "label").alias("label")), f"{name}-merged")
+
+
 def _starred(rows: DataFrame, r: int, partners: int, threshold: float) -> DataFrame:
     """Pairs of round ``r``: nodes outside their bucket's largest component with leaders of other components."""
     drawn = [F.struct(F.xxhash64("uid", "k", F.lit(r * LEADERS + i)), "uid", "label", "n") for i in range(LEADERS)]
@@ -385,17 +394,14 @@ def _every(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, seqs: DataFr
     Blocks of a bucket's nodes meet two by two; nodes of its largest component do not meet each other.
     """
     at = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size")).join(labels, "label")
-    # a node that no link has reached is its own component
-    rows = buckets.join(at, "uid", "left").select("uid", "n", "k", "s", F.coalesce("label", "uid").alias("label"), F.coalesce("size", F.lit(1)).alias("size"))
-    rows = rows.withColumn("home", F.struct("size", "label"))
+    rows = buckets.join(at, "uid").withColumn("home", F.struct("size", "label"))
     mixed = _by_salt(rows, c=(F.count, F.lit(1)), lo=(F.min, "label"), hi=(F.max, "label"), top=(F.max, "home")).where("lo < hi")
     rows = rows.join(mixed.select("k", "s", "c", F.col("top.label").alias("top")), ["k", "s"])
     rows = written(rows.select("uid", "n", "k", "s", "label", "c", (F.col("label") == F.col("top")).cast("long").alias("inside")), "mixed")
     inner, one = _by_salt(rows, inner=(F.sum, "inside")), F.col("c") <= BLOCK
     outer = F.when(one, 1).otherwise(F.ceil((F.col("c") - F.col("inner")) / BLOCK)).cast("int")  # blocks of nodes outside
     rows = rows.join(inner, ["k", "s"]).withColumns({"outer": outer, "of_top": F.when(one, 0).otherwise(F.ceil(F.col("inner") / BLOCK)).cast("int")})
-    dealt = F.xxhash64("uid")
-    block = F.when(one, 0).when(F.col("inside") == 1, F.col("outer") + F.expr("pmod(xxhash64(uid), greatest(of_top, 1))")).otherwise(F.pmod(dealt, F.col("outer")))
+    block = F.when(one, 0).when(F.col("inside") == 1, F.expr("outer + pmod(xxhash64(uid), greatest(of_top, 1))")).otherwise(F.expr("pmod(xxhash64(uid), outer)"))
     rows = rows.withColumn("g", block.cast("int"))
     counted = nodes.select("uid", "sk").join(seqs.mapInPandas(_folded, "uid long, bins binary"), "uid")
     rows = rows.select("uid", "n", "k", "label", "g", "outer", "of_top").join(counted, "uid")
