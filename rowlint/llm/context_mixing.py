@@ -7,9 +7,11 @@ ranks turns a symbol into binary decisions (both from the counts of all training
 texts).  Three predictors, each with a table hashed by the last 3, 4 or 6 symbols,
 give a log-odds for every decision, from the counts of all training texts as
 well.  Their log-odds are combined by weights that the depth of the decision
-gates; the weights start from ones fitted on a bounded sample of training texts
-(``FIT_DOCS``, none above 200,000 bytes) and go on learning inside each text, as
-does a last adaptive probability map that corrects the mixed probability.  Updates come after
+gates; the weights start from ones fitted on the decisions of all training texts
+and go on learning inside each text, as does a last adaptive probability map that
+corrects the mixed probability.  The fit needs each decision's log-odds only, so
+tasks count decisions by them (in steps of ``1 << STEP_BITS`` units) and the driver fits on
+these counts, whose number is fixed.  Updates come after
 every ``BLOCK`` symbols of every text, so that many texts are worked on
 side by side; a text's score depends on the model and that text alone.
 
@@ -47,14 +49,15 @@ HEAVY = 1 << 16
 CHUNK = 1 << 16  # table entries in a row while counts are gathered
 FAN_IN = 64  # tables added up by one task at a time
 FOURS = 1 << 24
-FIT_DOCS = 1500  # training texts that the starting weights and map are fitted on
-FIT_CHARS = 20_000_000
+STEP_BITS = 2  # log-odds are counted in steps of 4 units while weights and map are fitted
+LEVEL_BITS = 8 - STEP_BITS
+CELLS = 1 << (LEVEL_BITS * len(ORDERS))  # of one depth and outcome
+NEWTON = 12
 HELD_MOD = 10
 PAD = 6
 BLOCK = 32  # symbols of a text from one update to the next
 SEGMENT = 1 << 21
 GROUP = 1 << 18  # symbols worked on at once
-FITTED = 1 << 22  # so many while weights and map are fitted, which move on after each group
 SCORED, SCORED_TEXTS = 1 << 24, 8192  # so many while scoring, which holds the contexts of one block at a time
 BINS = 24
 RATE = 0.3
@@ -264,17 +267,16 @@ class Model:
     weights: np.ndarray  # [depth, predictor]: at the start of a text
     apm: np.ndarray  # [depth, bin, zeros and ones]: prior counts
 
-    def bits(self, texts: list[bytes], learn: bool = False) -> np.ndarray:
-        """Bits of each text.  ``learn``: carry weights and map on (while fitting)."""
+    def bits(self, texts: list[bytes]) -> np.ndarray:
+        """Bits of each text."""
         out = np.zeros(len(texts))
-        # texts of like length side by side; the order that the fit goes by stays
-        order = np.arange(len(texts)) if learn else np.argsort([len(t) for t in texts], kind="stable")
+        order = np.argsort([len(t) for t in texts], kind="stable")  # texts of like length side by side
         texts = [texts[i] for i in order]
-        for lo, hi in _groups(texts, FITTED if learn else SCORED):
-            out[order[lo:hi]] = self._group(texts[lo:hi], learn)
+        for lo, hi in _groups(texts, SCORED):
+            out[order[lo:hi]] = self._group(texts[lo:hi])
         return out
 
-    def _group(self, texts, learn):
+    def _group(self, texts):
         code, m, depth = self.code, len(ORDERS), len(self.code.step)
         s, first, sizes = stream(texts, code)
         k = len(texts)
@@ -287,12 +289,9 @@ class Model:
             hi = lo + BLOCK
             who = np.flatnonzero(sizes > lo)
             # texts that end in this block have nothing left to learn for
-            for part, learns in ((who[sizes[who] > hi], True), (who[sizes[who] <= hi], learn)):
+            for part, learns in ((who[sizes[who] > hi], True), (who[sizes[who] <= hi], False)):
                 if len(part):
                     self._block(part, learns, lo, hi, s, first, sizes, weights, apm, bits)
-        if learn:
-            self.weights = (weights @ (sizes / sizes.sum())).T.astype(np.float32)
-            self.apm = self.apm + (apm - self.apm[:, None]).sum(1)
         return bits + rare
 
     def _block(self, who, learns, lo, hi, s, first, sizes, weights, apm, bits):
@@ -342,6 +341,58 @@ class Model:
         if learns:
             weights[:, :, who] = mine
 
+    def decisions(self, texts: list[bytes], total: np.ndarray, levels: list[np.ndarray]) -> None:
+        """Add to ``total`` [depth, outcome, cell] the decisions of ``texts`` by the levels of their log-odds."""
+        code = self.code
+        for lo, hi in _groups(texts):
+            s, first, _ = stream(texts[lo:hi], code)
+            sym, rows = contexts(s, code, _real(s, first) - PAD)
+            sym = sym.astype(np.intp)
+            for d in range(len(code.step)):
+                if d:
+                    live = np.flatnonzero(step < LAST)
+                    if not len(live):
+                        break
+                    sym, rows = sym[live], [r[live] for r in rows]
+                step = code.step[d][sym]
+                node, cell = step & 63, ((step >> 6) & 1).astype(np.int32) + 2 * d
+                for level, r in zip(levels, rows, strict=True):
+                    cell = (cell << LEVEL_BITS) | level[r + node]
+                np.add.at(total, cell, np.uint32(1))
+
+    def levels(self) -> list[np.ndarray]:
+        return [((t.astype(np.int16) + 128) >> STEP_BITS).astype(np.uint8) for t in self.tables]
+
+    def fit(self, decisions: np.ndarray) -> None:
+        """Starting weights of most likelihood for counted decisions [depth, outcome, cell], then the map's counts by them."""
+        for d, (zeros, ones) in enumerate(decisions.reshape(len(self.code.step), 2, CELLS)):
+            met = np.flatnonzero(zeros + ones)
+            x = np.stack([(met >> (LEVEL_BITS * i)) & ((1 << LEVEL_BITS) - 1) for i in reversed(range(len(ORDERS)))], 1)
+            x = ((x << STEP_BITS) + ((1 << STEP_BITS) - 1) / 2 - 128).astype(float)  # units, at the middle of a step
+            zero, one = zeros[met].astype(float), ones[met].astype(float)
+            start = self.weights[d].astype(float)
+
+            def cost(w, x=x, zero=zero, one=one, start=start):
+                z = x @ w
+                return (one * np.logaddexp(0, -z) + zero * np.logaddexp(0, z)).sum() + UNIT ** 2 / 2 * ((w - start) ** 2).sum()
+
+            w, now = start, cost(start)
+            for _ in range(NEWTON):
+                p = 1 / (1 + np.exp(-(x @ w)))
+                slope = x.T @ (p * (zero + one) - one) + UNIT ** 2 * (w - start)
+                bend = (x * (p * (1 - p) * (zero + one))[:, None]).T @ x + UNIT ** 2 * np.eye(len(ORDERS))
+                move = np.linalg.solve(bend, slope)
+                while (new := cost(w - move)) > now and np.abs(move).max() > 1e-9:
+                    move /= 2
+                if new >= now:
+                    break
+                w, now = w - move, new
+            self.weights[d] = w
+            at = np.clip((x @ w) * (BINS / 16) + BINS / 2, 0, BINS - 1).astype(np.intp)
+            self.apm[d, :, 0] += np.bincount(at, zero, BINS)
+            self.apm[d, :, 1] += np.bincount(at, one, BINS)
+        self.settle()
+
     def settle(self) -> None:
         """Give the map's prior a fixed weight per cell row."""
         total = self.apm.sum((1, 2), keepdims=True)
@@ -424,6 +475,18 @@ def _fours(code: Code):
     return counted
 
 
+def _decisions(shared):
+    def counted(batches):
+        model = shared.value
+        levels, total = model.levels(), np.zeros(len(model.code.step) * 2 * CELLS, np.uint32)
+        for pdf in batches:
+            for texts in _lowered(pdf["text"]):
+                model.decisions(texts, total, levels)
+        yield _counted([total])
+
+    return counted
+
+
 def _counted(total: list[np.ndarray]) -> pd.DataFrame:
     """A task's counts, ``CHUNK`` entries a row."""
     rows = []
@@ -470,14 +533,6 @@ def train(rows: DataFrame) -> tuple[Model, DataFrame, int, int, np.ndarray, np.n
     for r in census.where("kind = 1").collect():  # 257 rows
         by_byte[r["h"]] = r["c"]
     top = counts.orderBy(F.desc("c"), "h").limit(HEAVY).toPandas().sort_values("h")
-    n = train_rows.count()
-    sample = train_rows if n <= FIT_DOCS else train_rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * FIT_DOCS / n))
-    some = sample.where(F.octet_length("text") <= 200_000).orderBy(F.xxhash64("id"), "text").select("text").limit(FIT_DOCS).toPandas()["text"].tolist()
-    texts, size = [], 0
-    for t in some:
-        size += len(t)
-        if size <= FIT_CHARS:
-            texts.append(lowered(t))
     code = symbols(by_byte[:256])
     keys, n_keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for _, at, c in _summed(train_rows.select("text").mapInPandas(_fours(code), COUNTED), "fours"):
@@ -491,11 +546,12 @@ def train(rows: DataFrame) -> tuple[Model, DataFrame, int, int, np.ndarray, np.n
         tables[o][at:at + CHUNK] = c
     depth = len(code.step)
     model = Model(code, tables_from(tables, code), np.full((depth, len(ORDERS)), 0.35 / UNIT, np.float32), np.ones((depth, BINS, 2)))
-    for _ in range(2):
-        model.apm = np.ones((depth, BINS, 2))
-        if texts:
-            model.bits(texts, learn=True)
-        model.settle()
+    decisions = np.zeros(depth * 2 * CELLS, np.int64)
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    for _, at, c in _summed(train_rows.select("text").mapInPandas(_decisions(shared), COUNTED), "decisions"):
+        decisions[at:at + CHUNK] = c
+    shared.unpersist()
+    model.fit(decisions)
     return model, counts, int(total["n"]), int(total["v"]), top["h"].to_numpy(np.int64), top["c"].to_numpy(np.int64)
 
 

@@ -118,6 +118,33 @@ def test_probabilities_sum_to_one():
     assert lost == pytest.approx(1.0)
 
 
+def test_the_fit_sees_the_decisions_of_every_training_text(spark, monkeypatch):
+    """Long texts and every short one, in whatever partitions; held-out ones have no part."""
+    rows = [(i, f"text number {i} of the lot " * (i % 7)) for i in range(300)] + [(1001, "a long one of its own, " * 12_000), (1002, "another " * 30_000)]
+    seen, fit = [], C.Model.fit
+    monkeypatch.setattr(C.Model, "fit", lambda self, decisions: (seen.append((self, decisions.copy())), fit(self, decisions))[1])
+    held = [zlib.crc32(str(d).encode()) % 10 == 0 for d, _ in rows]
+    df = spark.createDataFrame([(d, t, h) for (d, t), h in zip(rows, held, strict=True)], "id long, text string, held boolean").repartition(3)
+    C.train(df)
+    (m, got), = seen
+    want = np.zeros(len(got), np.uint32)
+    m.decisions([C.lowered(t) for (_, t), h in zip(rows, held, strict=True) if not h], want, m.levels())
+    assert (got == want).all()
+    # every symbol takes one first decision
+    assert got[:2 * C.CELLS].sum() == sum(len(t) + 1 for (_, t), h in zip(rows, held, strict=True) if not h)
+
+
+def test_fitted_weights_are_of_most_likelihood():
+    texts = [C.lowered(t or "") for _, t in corpus()][:150]
+    m = model([t.decode() for t in texts])
+    total = np.zeros(len(m.code.step) * 2 * C.CELLS, np.uint32)
+    m.decisions(texts, total, m.levels())
+    before = m.bits(texts).sum()
+    m.apm = np.ones_like(m.apm)
+    m.fit(total.astype(np.int64))
+    assert np.isfinite(m.weights).all() and m.bits(texts).sum() < before
+
+
 def test_learns_the_language(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     out = C.with_lm_scores(df).where("held_out").toPandas()
