@@ -34,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +59,8 @@ PAD = 6
 BLOCK = 32  # symbols of a text from one update to the next
 SEGMENT = 1 << 21
 GROUP = 1 << 18  # symbols worked on at once
+SIDE = 1 << 15  # so many side by side, whose decisions fit in a processor's cache
+SORTED = 1 << 22  # so many sorted at once while counting
 SCORED, SCORED_TEXTS = 1 << 24, 8192  # so many while scoring, which holds the contexts of one block at a time
 BINS = 24
 RATE = 0.3
@@ -124,6 +127,15 @@ class Code:
     step: np.ndarray  # [depth, rank]: node, 64 if what comes is the right side, LAST at a rank's last decision
     below: np.ndarray  # [2, rank, node]: ranks on either side of a node
 
+    def paths(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The decisions of all ranks one after another: how many each rank has, where they begin,
+        and of each decision its node, 64 if what comes is the right side, and 128 times its depth."""
+        many = (self.step >= LAST).argmax(0) + 1
+        begin = np.cumsum(many) - many
+        depth = np.arange(many.sum()) - np.repeat(begin, many)
+        step = self.step[depth, np.repeat(np.arange(64), many)]
+        return many, begin, (step & 127) + 128 * depth
+
 
 def symbols(byte_counts: np.ndarray) -> Code:
     """The symbols of bytes, a code without ranks yet."""
@@ -204,12 +216,17 @@ def ranked(code: Code, key: np.ndarray, n: np.ndarray) -> Code:
     return Code(symbol, escape_bits, row, rank.ravel(), step, below)
 
 
-def _real(s: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """The places that are not padding."""
+def _mask(s: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Of every place, whether it is not padding."""
     real = np.ones(len(s), bool)
     for j in range(PAD):
         real[first - 1 - j] = False
-    return np.flatnonzero(real)
+    return real
+
+
+def _real(s: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The places that are not padding."""
+    return np.flatnonzero(_mask(s, first))
 
 
 def stream(texts: list[bytes], code: Code) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -226,29 +243,51 @@ def stream(texts: list[bytes], code: Code) -> tuple[np.ndarray, np.ndarray, np.n
     return s, first, sizes
 
 
-def contexts(s: np.ndarray, code: Code, at: np.ndarray | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Of every place from ``PAD`` on, or of the places ``at`` counted from there:
-    the rank of its symbol, and for each order the first table entry of its context."""
-    n = len(s) - PAD
+def sevens(s: np.ndarray) -> np.ndarray:
+    """Every symbol from ``PAD`` on (along the last axis) with the six before it, as one number of 42 bits."""
+    one = s.astype(np.uint64)
+    two = one[..., 1:] | (one[..., :-1] << 6)
+    four = two[..., 2:] | (two[..., :-2] << 12)
+    six = four[..., 2:] | (two[..., :-4] << 24)
+    return six[..., 1:] | (one[..., :-PAD] << 36)
 
-    def back(j):
-        """The symbols ``j`` places before."""
-        return s[PAD - j:PAD - j + n] if at is None else s[at + (PAD - j)]
 
-    key = back(1).astype(np.uint64)
-    for j in (1, 2):
-        key |= back(j + 1).astype(np.uint64) << np.uint64(6 * j)
-    rank = code.rank[(code.row[key.view(np.int64)] << 6) | back(0)]
-    out, done = [], 3
+def looked_up(key: np.ndarray, code: Code) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of numbers of seven symbols: the rank of the last, and for each order the
+    first table entry of its context."""
+    before = key >> 6
+    row = code.row.take((before & 0x3FFFF).view(np.int64), mode="clip")
+    rank = code.rank.take((row << 6) | (key & 63).view(np.int64), mode="clip")
+    out = []
     for o in ORDERS:
-        for j in range(done, o):
-            key |= back(j + 1).astype(np.uint64) << np.uint64(6 * j)
-        done = o
-        slot = (key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)
-        out.append((slot << np.uint64(6)).view(np.int64))
+        slot = ((before & ((1 << 6 * o) - 1)) * np.uint64(_R)) >> (64 - SLOT_BITS)
+        out.append((slot << 6).view(np.int64))
     return rank, out
 
 
+def contexts(s: np.ndarray, code: Code) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of every place from ``PAD`` on: the rank of its symbol, and for each order the first table entry of its context."""
+    return looked_up(sevens(s), code)
+
+
+def distinct(texts: list[bytes], code: Code) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The different numbers of seven symbols in some megabytes of texts at a time, and how often each occurs."""
+    for lo, hi in _groups(texts, SORTED):
+        s, first, sizes = stream(texts[lo:hi], code)
+        real, keys = _mask(s, first)[PAD:], np.empty(sizes.sum(), np.uint64)
+        n = 0
+        for i in range(0, len(real), SIDE):
+            own = sevens(s[i:i + SIDE + PAD])[real[i:i + SIDE]]
+            keys[n:n + len(own)] = own
+            n += len(own)
+        keys.sort()
+        new = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+        begin = np.r_[0, new]
+        times = np.diff(begin, append=len(keys)).astype(np.uint32)
+        for i in range(0, len(begin), SIDE):
+            yield keys[begin[i:i + SIDE]], times[i:i + SIDE]
+
+
 def _groups(texts: list[bytes], most: int = GROUP):
     lo, size = 0, 0
     for i, t in enumerate(texts):
@@ -277,88 +316,103 @@ class Model:
         return out
 
     def _group(self, texts):
-        code, m, depth = self.code, len(ORDERS), len(self.code.step)
+        """Bits of each of some texts, which come by length."""
+        code = self.code
         s, first, sizes = stream(texts, code)
+        s = np.r_[s, np.zeros(min(BLOCK, sizes.max()), np.uint8)]  # the last text has a whole block to read as well
         k = len(texts)
         bits = np.zeros(k)
         esc = code.escape_bits
         rare = np.array([esc[np.frombuffer(t, np.uint8)].sum() if t else 0.0 for t in texts])
-        weights = np.repeat(self.weights.T[:, :, None], k, 2).astype(np.float32)  # [predictor, depth, text]
-        apm = np.repeat(self.apm[:, None], k, 1).astype(np.float32)  # [depth, text, bin, zeros and ones]
+        weights = np.repeat(self.weights.T[:, None], k, 1).astype(np.float32)  # [predictor, text, depth]
+        apm = np.repeat(self.apm[None], k, 0).astype(np.float32)  # [text, depth, bin, zeros and ones]
+        paths, few = code.paths(), max(1, SIDE // BLOCK)
         for lo in range(0, int(sizes.max()), BLOCK):
             hi = lo + BLOCK
             who = np.flatnonzero(sizes > lo)
             # texts that end in this block have nothing left to learn for
             for part, learns in ((who[sizes[who] > hi], True), (who[sizes[who] <= hi], False)):
-                if len(part):
-                    self._block(part, learns, lo, hi, s, first, sizes, weights, apm, bits)
+                for i in range(0, len(part), few):
+                    self._block(part[i:i + few], learns, lo, hi, s, first, sizes, weights, apm, bits, paths)
         return bits + rare
 
-    def _block(self, who, learns, lo, hi, s, first, sizes, weights, apm, bits):
-        """Bits of places ``lo`` to ``hi`` of the texts ``who``; learns from them if ``learns``."""
-        code, k = self.code, len(who)
-        count = np.minimum(sizes[who], hi) - lo
-        own = np.repeat(np.arange(k), count)  # the text of each decision, by its place in who
-        at = np.arange(len(own)) + (first[who] + lo - PAD - (np.cumsum(count) - count))[own]
-        sym, rows = contexts(s, code, at)
-        sym = sym.astype(np.intp)
-        mine, cells, lost = weights[:, :, who], who * BINS, np.zeros(k)
-        for d in range(len(code.step)):
-            if d:
-                live = np.flatnonzero(step < LAST)
-                if not len(live):
-                    break
-                sym, own, rows = sym[live], own[live], [r[live] for r in rows]
-            step = code.step[d][sym]
-            node, bit = step & 63, (step >> 6) & 1
-            odds = [t[r + node].astype(np.float32) for t, r in zip(self.tables, rows, strict=True)]  # in units
-            x = mine[0, d][own] * odds[0]
-            for w, o in zip(mine[1:, d], odds[1:], strict=True):
-                x += w[own] * o
-            p = 1 / (1 + np.exp(-x))
-            x *= np.float32(BINS / 16)
-            x += np.float32(BINS / 2)
-            # zeros and ones of the cells that are met, not of every text's whole map
-            cell = np.minimum(np.maximum(x, 0), BINS - 1).astype(np.intp)
-            cell += cells[own]
-            cell *= 2
-            seen = apm[d].reshape(-1)
-            f = seen[cell + 1]
-            f /= f + seen[cell]
-            f += p
-            f *= np.float32(0.5)
-            hit = np.abs(f - (1 - bit).astype(np.float32))  # the probability that what came was given
-            lost -= np.bincount(own, np.log2(np.maximum(hit, np.float32(1e-6))), k)
-            if not learns:
-                continue
-            # one gradient step a block, then the map's counts
-            err = bit.astype(np.float32) - p
-            rate = RATE / UNIT ** 2 / (np.bincount(own, minlength=k) + 64.0)
-            for i, o in enumerate(odds):
-                mine[i, d] += rate * np.bincount(own, err * o, k)
-            np.add.at(seen, cell + bit, np.float32(1))
-        bits[who] += lost
-        if learns:
-            weights[:, :, who] = mine
+    def _block(self, who, learns, lo, hi, s, first, sizes, weights, apm, bits, paths):
+        """Bits of places ``lo`` to ``hi`` of the texts ``who``, which follow one another; learns from them if ``learns``."""
+        k, m, deep, (many, begin, steps) = len(who), len(ORDERS), weights.shape[2], paths
+        texts = slice(who[0], who[0] + k)
+        count = np.minimum(sizes[texts], hi) - lo
+        wide = int(count.max())
+        key = sevens(sliding_window_view(s, PAD + wide)[first[texts] + (lo - PAD)])
+        key = key.ravel() if (count == wide).all() else key[np.arange(wide) < count[:, None]]
+        rank, rows = looked_up(key, self.code)
+        # all decisions side by side: the symbol of each, then its step
+        n = many.take(rank, mode="clip")
+        end = np.cumsum(n)
+        symbol = np.repeat(np.arange(len(n)), n)
+        step = (begin.take(rank, mode="clip") - (end - n)).take(symbol, mode="clip")
+        step += np.arange(len(step))
+        step = steps.take(step, mode="clip")
+        node, side = step & 63, (step >> 6) & 1
+        step >>= 7
+        gate = np.repeat(np.arange(0, k * deep, deep), count).take(symbol, mode="clip")
+        gate += step  # [text, depth]
+        mine, x, odds = weights[:, texts].reshape(m, -1), None, []
+        for t, r, w in zip(self.tables, rows, mine, strict=True):
+            entry = r.take(symbol, mode="clip")
+            entry += node
+            odds.append(t.take(entry, mode="clip").astype(np.float32))  # in units
+            part = w.take(gate, mode="clip")
+            part *= odds[-1]
+            x = part if x is None else np.add(x, part, out=x)
+        p = np.exp(-x)
+        p += 1
+        np.reciprocal(p, out=p)
+        x *= np.float32(BINS / 16)
+        x += np.float32(BINS / 2)
+        np.clip(x, 0, BINS - 1, out=x)
+        # zeros and ones of the cells that are met, not of every text's whole map
+        cell = gate * BINS
+        cell += x.astype(np.intp)
+        seen = apm[texts].reshape(-1)
+        pair = seen.view(np.complex64).take(cell, mode="clip")
+        f = pair.imag / (pair.imag + pair.real)
+        f += p
+        f *= np.float32(0.5)
+        right = side.astype(np.float32)
+        f -= 1 - right
+        hit = np.abs(f, out=f)  # the probability that what came was given
+        np.maximum(hit, np.float32(1e-6), out=hit)
+        start = np.r_[0, end][np.cumsum(count) - count]
+        bits[texts] -= np.add.reduceat(np.log2(hit, out=hit), start, dtype=np.float64)
+        if not learns:
+            return
+        # one gradient step a block, then the map's counts
+        err = np.subtract(right, p, out=p)
+        rate = RATE / UNIT ** 2 / (np.bincount(gate, minlength=k * deep) + 64.0)
+        for w, o in zip(mine, odds, strict=True):
+            w += rate * np.bincount(gate, np.multiply(err, o, out=o), k * deep)
+        weights[:, texts] = mine.reshape(m, k, deep)
+        cell *= 2
+        cell += side
+        np.add.at(seen, cell, np.float32(1))
 
     def decisions(self, texts: list[bytes], total: np.ndarray, levels: list[np.ndarray]) -> None:
         """Add to ``total`` [depth, outcome, cell] the decisions of ``texts`` by the levels of their log-odds."""
         code = self.code
-        for lo, hi in _groups(texts):
-            s, first, _ = stream(texts[lo:hi], code)
-            sym, rows = contexts(s, code, _real(s, first) - PAD)
-            sym = sym.astype(np.intp)
+        for key, n in distinct(texts, code):
+            sym, rows = looked_up(key, code)
             for d in range(len(code.step)):
                 if d:
                     live = np.flatnonzero(step < LAST)
                     if not len(live):
                         break
-                    sym, rows = sym[live], [r[live] for r in rows]
-                step = code.step[d][sym]
-                node, cell = step & 63, ((step >> 6) & 1).astype(np.int32) + 2 * d
+                    sym, n, rows = sym[live], n[live], [r[live] for r in rows]
+                step = code.step[d].take(sym, mode="clip")
+                node, cell = step & 63, ((step >> 6) & 1).astype(np.intp) + 2 * d
                 for level, r in zip(levels, rows, strict=True):
-                    cell = (cell << LEVEL_BITS) | level[r + node]
-                np.add.at(total, cell, np.uint32(1))
+                    cell <<= LEVEL_BITS
+                    cell |= level.take(r + node, mode="clip")
+                np.add.at(total, cell, n)
 
     def levels(self) -> list[np.ndarray]:
         return [((t.astype(np.int16) + 128) >> STEP_BITS).astype(np.uint8) for t in self.tables]
@@ -434,13 +488,13 @@ def _census(batches):
                                 "h": np.r_[h, np.arange(257)], "c": np.r_[c, bytes_, ends]})
 
 
-def _lowered(texts) -> Iterator[list[bytes]]:
+def _lowered(texts, most: int = 1 << 21) -> Iterator[list[bytes]]:
     """The texts as lowered bytes, a few megabytes at a time."""
     out, size = [], 0
     for t in texts:
         out.append(lowered(t))
         size += len(out[-1])
-        if size > 1 << 21:
+        if size > most:
             yield out
             out, size = [], 0
     if out:
@@ -451,13 +505,11 @@ def _ngrams(code: Code):
     def ngrams(batches):
         total = [np.zeros(1 << (SLOT_BITS + 6), np.uint32) for _ in ORDERS]
         for pdf in batches:
-            for texts in _lowered(pdf["text"]):
-                for lo, hi in _groups(texts):
-                    s, first, _ = stream(texts[lo:hi], code)
-                    at = _real(s, first) - PAD
-                    rank, base = contexts(s, code)
+            for texts in _lowered(pdf["text"], SORTED):
+                for key, n in distinct(texts, code):
+                    rank, base = looked_up(key, code)
                     for t, b in zip(total, base, strict=True):
-                        np.add.at(t, (b + rank)[at], np.uint32(1))
+                        np.add.at(t, b + rank, n)
         yield _counted(total)
 
     return ngrams
@@ -480,7 +532,7 @@ def _decisions(shared):
         model = shared.value
         levels, total = model.levels(), np.zeros(len(model.code.step) * 2 * CELLS, np.uint32)
         for pdf in batches:
-            for texts in _lowered(pdf["text"]):
+            for texts in _lowered(pdf["text"], SORTED):
                 model.decisions(texts, total, levels)
         yield _counted([total])
 

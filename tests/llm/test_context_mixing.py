@@ -97,6 +97,82 @@ def test_updates_come_every_block_of_every_text(monkeypatch):
     assert learned < m.bits(long[:1])[0]
 
 
+def plain_bits(m, text):
+    """Bits of one text, decision by decision, updates after every block."""
+    raw = [int(m.code.symbol[b]) for b in text] + [C.END]
+    w, apm, total = m.weights.astype(np.float32), m.apm.astype(np.float32), sum(m.code.escape_bits[b] for b in text)
+    back = [C.END] * C.PAD + raw
+    for lo in range(0, len(raw), C.BLOCK):
+        step_w, hits, met = np.zeros(w.shape), [], Counter()
+        for i in range(lo, min(lo + C.BLOCK, len(raw))):
+            before = back[i:i + C.PAD][::-1]
+            number = {o: sum(x << 6 * j for j, x in enumerate(before[:o])) for o in C.ORDERS}
+            rank = int(m.code.rank[m.code.row[number[3]] * 64 + raw[i]])
+            slots = [(number[o] * C._R % (1 << 64)) >> (64 - C.SLOT_BITS) for o in C.ORDERS]
+            for d in range(len(m.code.step)):
+                step = int(m.code.step[d, rank])
+                node, bit = step & 63, (step >> 6) & 1
+                odds = np.array([t[slot * 64 + node] for t, slot in zip(m.tables, slots, strict=True)], np.float32)
+                x = float(w[d] @ odds)
+                p = 1 / (1 + math.exp(-x))
+                cell = int(min(max(x * C.BINS / 16 + C.BINS / 2, 0), C.BINS - 1))
+                f = (apm[d, cell, 1] / apm[d, cell].sum() + p) / 2
+                total -= math.log2(max(f if bit else 1 - f, 1e-6))
+                step_w[d] += (bit - p) * odds
+                met[d] += 1
+                hits.append((d, cell, bit))
+                if step >= C.LAST:
+                    break
+        for d, n in met.items():
+            w[d] += C.RATE / C.UNIT ** 2 / (n + 64) * step_w[d]
+        for h in hits:
+            apm[h] += 1
+    return total
+
+
+def test_bits_against_decisions_one_by_one(monkeypatch):
+    """Texts of no, one and many blocks, worked on in parts of two texts."""
+    texts = [C.lowered(t or "") for _, t in corpus()][:60]
+    m = model([t.decode() for t in texts])
+    own = [b"", b"a", b"b" * (C.BLOCK - 1), b"c" * C.BLOCK, b"zz ab " * 25, texts[1], texts[2], "\U0001f600 not seen".encode()]
+    whole = m.bits(own)
+    assert whole == pytest.approx([plain_bits(m, t) for t in own], rel=1e-4)
+    monkeypatch.setattr(C, "SIDE", 2 * C.BLOCK)
+    assert (m.bits(own) == whole).all()
+
+
+def test_counting_looks_up_different_sevens_only(monkeypatch):
+    texts = [C.lowered(t or "") for _, t in corpus()][:30] * 10
+    m = model([t.decode() for t in texts])
+    s, first, _ = C.stream(texts, m.code)
+    every = C._real(s, first)
+    sevens, times = np.unique(np.stack([s[every - j] for j in range(C.PAD + 1)]), axis=1, return_counts=True)
+    want = np.zeros(len(m.code.step) * 2 * C.CELLS, np.int64)
+    rank, rows = C.contexts(s, m.code)
+    levels = m.levels()
+    for i in (every - C.PAD)[:len(every) // 10].tolist():
+        for d, step in enumerate(m.code.step[:, rank[i]].tolist()):
+            cell = 2 * d + ((step >> 6) & 1)
+            for level, r in zip(levels, rows, strict=True):
+                cell = (cell << C.LEVEL_BITS) | int(level[r[i] + (step & 63)])
+            want[cell] += 10
+            if step >= C.LAST:
+                break
+    seen, looked_up = [], C.looked_up
+    monkeypatch.setattr(C, "looked_up", lambda key, code: (seen.append(len(key)), looked_up(key, code))[1])
+    got = np.zeros(len(want), np.uint32)
+    m.decisions(texts, got, m.levels())
+    assert (got == want).all()
+    assert sum(seen) == sevens.shape[1] < len(every) / 10
+    # in parts, each counted by itself
+    monkeypatch.setattr(C, "SORTED", 1000)
+    monkeypatch.setattr(C, "SIDE", 64)
+    again = np.zeros(len(want), np.uint32)
+    m.decisions(texts, again, m.levels())
+    assert (again == want).all()
+    assert sum(n.sum() for _, n in C.distinct(texts, m.code)) == times.sum() == len(every)
+
+
 def test_probabilities_sum_to_one():
     # every symbol after the same text: the chances of all next symbols add up
     m = model([t or "" for _, t in corpus()][:60])
