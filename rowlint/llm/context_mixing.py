@@ -59,7 +59,7 @@ PAD = 6
 BLOCK = 32  # symbols of a text from one update to the next
 SEGMENT = 1 << 21
 GROUP = 1 << 18  # symbols worked on at once
-SIDE = 1 << 15  # so many side by side, whose decisions fit in a processor's cache
+SIDE = 1 << 16  # so many side by side while scoring, all their decisions at once
 SORTED = 1 << 22  # so many sorted at once while counting
 SCORED, SCORED_TEXTS = 1 << 24, 8192  # so many while scoring, which holds the contexts of one block at a time
 BINS = 24
@@ -152,8 +152,8 @@ def fours(texts: list[bytes], code: Code) -> Iterator[np.ndarray]:
     """Every symbol with the three before it, as one number below ``FOURS``."""
     for lo, hi in _groups(texts):
         s, first, _ = stream(texts[lo:hi], code)
-        at, w = _real(s, first), s.astype(np.int32)
-        yield (w[at - 3] << 18) | (w[at - 2] << 12) | (w[at - 1] << 6) | w[at]
+        two = (s[:-1].astype(np.int32) << 6) | s[1:]
+        yield ((two[:-2] << 12) | two[2:])[_mask(s, first)[3:]]
 
 
 def make_code(byte_counts: np.ndarray, texts: list[bytes]) -> Code:
@@ -319,7 +319,9 @@ class Model:
         """Bits of each of some texts, which come by length."""
         code = self.code
         s, first, sizes = stream(texts, code)
-        s = np.r_[s, np.zeros(min(BLOCK, sizes.max()), np.uint8)]  # the last text has a whole block to read as well
+        wide = int(min(BLOCK, sizes.max()))
+        # from every place on, a block with what comes before it; the last text has a whole block to read as well
+        windows = sliding_window_view(np.r_[s, np.zeros(wide, np.uint8)], PAD + wide)
         k = len(texts)
         bits = np.zeros(k)
         esc = code.escape_bits
@@ -333,17 +335,16 @@ class Model:
             # texts that end in this block have nothing left to learn for
             for part, learns in ((who[sizes[who] > hi], True), (who[sizes[who] <= hi], False)):
                 for i in range(0, len(part), few):
-                    self._block(part[i:i + few], learns, lo, hi, s, first, sizes, weights, apm, bits, paths)
+                    self._block(part[i:i + few], learns, lo, hi, windows, first, sizes, weights, apm, bits, paths)
         return bits + rare
 
-    def _block(self, who, learns, lo, hi, s, first, sizes, weights, apm, bits, paths):
+    def _block(self, who, learns, lo, hi, windows, first, sizes, weights, apm, bits, paths):
         """Bits of places ``lo`` to ``hi`` of the texts ``who``, which follow one another; learns from them if ``learns``."""
         k, m, deep, (many, begin, steps) = len(who), len(ORDERS), weights.shape[2], paths
         texts = slice(who[0], who[0] + k)
         count = np.minimum(sizes[texts], hi) - lo
-        wide = int(count.max())
-        key = sevens(sliding_window_view(s, PAD + wide)[first[texts] + (lo - PAD)])
-        key = key.ravel() if (count == wide).all() else key[np.arange(wide) < count[:, None]]
+        key = sevens(windows[first[texts] + (lo - PAD)])
+        key = key[np.arange(key.shape[1]) < count[:, None]] if count.min() < key.shape[1] else key.ravel()
         rank, rows = looked_up(key, self.code)
         # all decisions side by side: the symbol of each, then its step
         n = many.take(rank, mode="clip")
@@ -382,7 +383,7 @@ class Model:
         f -= 1 - right
         hit = np.abs(f, out=f)  # the probability that what came was given
         np.maximum(hit, np.float32(1e-6), out=hit)
-        start = np.r_[0, end][np.cumsum(count) - count]
+        start = (end - n)[np.cumsum(count) - count]
         bits[texts] -= np.add.reduceat(np.log2(hit, out=hit), start, dtype=np.float64)
         if not learns:
             return
@@ -610,6 +611,7 @@ def train(rows: DataFrame) -> tuple[Model, DataFrame, int, int, np.ndarray, np.n
 def _score(shared, n: int, v: int):
     def score(batches):
         model, heavy, heavy_c = shared.value
+        heavy_log = np.log10((heavy_c + 0.1) / (n + 0.1 * (v + 1)))
         base, i = TaskContext.get().partitionId() << 33, 0
         for pdf in batches:
             for lo in range(0, len(pdf), SCORED_TEXTS):
@@ -624,7 +626,7 @@ def _score(shared, n: int, v: int):
                         at = np.minimum(np.searchsorted(heavy, h), max(len(heavy) - 1, 0))
                         hit = heavy[at] == h if len(heavy) else np.zeros(len(h), bool)
                         known = c[hit]
-                        logs = float((known * np.log10((heavy_c[at[hit]] + 0.1) / (n + 0.1 * (v + 1)))).sum())
+                        logs = float((known * heavy_log[at[hit]]).sum())
                         out.append((int(c.sum()), int(known.sum()), logs, h[~hit], c[~hit].astype(np.int32)))
                 yield pd.DataFrame({
                     "uid": np.arange(base + i, base + i + len(part)), "doc_id": part["id"].astype("Int64").to_numpy(), "held_out": part["held"].to_numpy(),
